@@ -4,15 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import neardup, qualitycrf, toxicity
+from millrace.llm import langid, linededup, neardup, packing, qualitycrf, toxicity
 from millrace.llm.runtime import table
 
 
+def op1_line_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digest(table(spark, sf_dir, "documents"))
+
+
+def op4_variable_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op5_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return qualitycrf.score_documents(docs, qualitycrf.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op6_centroid_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -39,5 +52,35 @@ SELECT d.doc_id, CAST(coalesce(n.k, 0) AS BIGINT) AS n_shingles, m.component_id,
 FROM documents d JOIN m ON m.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
-QUERIES = {f.__name__: f for f in (op5_line_crf_quality, op9_minhash_near_dedup, op10_toxic_span_crf)}
-SQL = {"op9_minhash_near_dedup": OP9_SQL}
+#: Shortest runs of at least 50 characters from each line on and up to each line; one is a later copy if an equal stands earlier.
+OP1_SQL = r"""
+WITH t AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS p, ls FROM t),
+o AS (SELECT doc_id, p, len(ls[p]) + 1 AS w FROM l),
+c AS (SELECT doc_id, p, sum(w) OVER (PARTITION BY doc_id ORDER BY p) AS e, w FROM o),
+s AS (
+  SELECT a.doc_id, a.p AS lo, min(b.p) AS hi FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.p >= a.p AND b.p < a.p + 50 AND b.e - (a.e - a.w) >= 50 GROUP BY 1, 2
+  UNION
+  SELECT a.doc_id, max(b.p), a.p FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.p <= a.p AND b.p > a.p - 50 AND a.e - (b.e - b.w) >= 50 GROUP BY 1, 3),
+k AS (SELECT s.doc_id, lo, hi, array_to_string(ls[lo:hi], chr(10)) AS body FROM s JOIN t ON t.doc_id = s.doc_id),
+m AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, lo) AS r FROM k),
+g AS (SELECT DISTINCT doc_id, unnest(range(lo, hi + 1)) AS p FROM m WHERE r > 1),
+x AS (SELECT l.doc_id, l.p, l.ls[l.p] AS line, g.p IS NOT NULL AS gone FROM l LEFT JOIN g ON g.doc_id = l.doc_id AND g.p = l.p),
+y AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS begins FROM x),
+z AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_deleted, count(*) FILTER (begins) AS n_runs, coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '') AS rest FROM y GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_deleted, 0) AS BIGINT) AS n_deleted, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, md5(rest) AS text_md5
+FROM documents d LEFT JOIN z ON z.doc_id = d.doc_id
+"""
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_line_run_dedup,
+        op4_variable_best_fit_packing,
+        op5_line_crf_quality,
+        op6_centroid_language_id,
+        op9_minhash_near_dedup,
+        op10_toxic_span_crf,
+    )
+}
+SQL = {"op1_line_run_dedup": OP1_SQL, "op9_minhash_near_dedup": OP9_SQL}

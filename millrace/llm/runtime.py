@@ -18,13 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise and cut lineage in the folder that all executors share.
-
-    The folder is the cluster's spark.checkpoint.dir; one of our own is set only where that is unset, as in tests."""
-    sc = df.sparkSession.sparkContext
+def checkpoint_root(spark: SparkSession) -> str:
+    """The folder that all executors share: the cluster's spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-ckpt-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise in the shared checkpoint folder and cut lineage; Spark removes the files once they're out of use."""
+    checkpoint_root(df.sparkSession)
     return df.checkpoint()
 
 
