@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import langid, linededup, neardup, packing, qualitycrf, toxicity
+from millrace.llm import langid, linededup, neardup, packing, pieces, qualitycrf, qualityrules, tokencounts, toxicity, vptree
 from millrace.llm.runtime import table
 
 
@@ -12,6 +12,14 @@ def op1_line_run_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_token_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.counted(table(spark, sf_dir, "documents"))
+
+
+def op3_divergence_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qualityrules.judge(table(spark, sf_dir, "documents"))
+
+
 def op4_variable_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -26,6 +34,14 @@ def op6_centroid_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op7_vantage_point_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op8_sentencepiece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link(table(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -76,9 +92,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_line_run_dedup,
+        op2_token_length_histogram,
+        op3_divergence_quality_rules,
         op4_variable_best_fit_packing,
         op5_line_crf_quality,
         op6_centroid_language_id,
+        op7_vantage_point_neighbours,
+        op8_sentencepiece_viterbi,
         op9_minhash_near_dedup,
         op10_toxic_span_crf,
     )

@@ -67,7 +67,7 @@ def offsets(text: pa.Array):
     return np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
 
 
-def map_blocks(df: DataFrame, fn: Callable, keep: list[str], out: list[T.StructField], text: str = "text") -> DataFrame:
+def map_blocks(df: DataFrame, fn: Callable, keep: list[str], out: list[T.StructField], text: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
     """Run ``fn(text array) -> list of columns`` over blocks of whole texts; ``keep`` columns pass through unchanged."""
     source = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("text"))
     schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in keep] + out)
@@ -76,7 +76,7 @@ def map_blocks(df: DataFrame, fn: Callable, keep: list[str], out: list[T.StructF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in blocks(batch):
+            for lo, hi in blocks(batch, limit=limit):
                 part = batch.slice(lo, hi - lo)
                 made = fn(text_of(part))
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(n_keep)] + [pa.array(x) if not isinstance(x, pa.Array) else x for x in made], names)
