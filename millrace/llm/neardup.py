@@ -6,9 +6,10 @@ keeps the least (i, hash) that falls in; rounds t to 2t-1 throw all elements int
 is filled, equal coordinates estimate the Jaccard similarity with concentration, and large sets need about one round.
 
 Texts of equal sets form a class, represented by its least doc_id. Classes that agree on a band of coordinates share a bucket.
-Each member of a bucket is compared, on its full set, with the bucket's least class only. Pairs of one bucket that remain in
-different components are compared too, unless their similarities to that class rule the link out (Jaccard distance is a
-metric). No bucket is capped, and no link between different texts that share a bucket is lost.
+Each member of a bucket is compared, on its full set, with the bucket's least class only, its head. Members of a head's buckets that
+remain in different components are compared too, unless their similarities to the head rule the link out (Jaccard
+distance is a metric): few pair by pair, many in blocks. No bucket is capped, and no link between different texts that share
+a bucket is lost.
 
 Full sets are compared as sets of 64-bit shingle hashes computed afresh from both texts.
 
@@ -21,17 +22,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.components import components
-from millrace.llm.runtime import cut, map_blocks
+from millrace.llm.runtime import cut, map_blocks, spread
 from millrace.llm.textblock import STEPS, TextBlock, U, distinct_pairs, mix, shingles
 
 BANDS, ROWS = 25, 5
 EMPTY = U(2**64 - 1)
+#: Open members of a cell that are compared pair by pair; members of a block where there are more.
+FEW, BLOCK = 48, 256
 
 
 def text_sets(text: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -122,12 +126,11 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS,
     sk = cut(sketches(docs, size, bands, rows))
     known = sk.where("n_shingles > 0 and doc_id is not null")
     classes = cut(known.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")))
-    members = known.join(classes, ["s1", "s2"]).select("doc_id", "rep")
+    members = known.join(spread(classes, "rep", "s1", "s2"), ["s1", "s2"]).select("doc_id", "rep")
     reps = known.join(classes.select("s1", "s2", F.col("rep").alias("doc_id")), ["s1", "s2", "doc_id"], "left_semi")
     entries = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep")).distinct()
     heads = entries.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
-    placed = cut(entries.join(heads, "key").where("rep <> head").select("key", "rep", "head"))
-    stars = placed.select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
+    stars = cut(entries.join(spread(heads, "head", "key"), "key").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct())
     checked = cut(_jaccard(stars, docs, size))
     linked = F.expr(f"100 * common >= {percent} * total")
     # a doc_id that stands on several rows joins the classes of all its texts
@@ -135,7 +138,8 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS,
     joins = members.join(twice, "doc_id").where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
     edges = checked.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")).union(joins)
     first = components(edges)
-    more = _jaccard(_open_pairs(placed, checked, first, percent), docs, size).where(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    reach = 1.0 - percent / 100.0 + 1e-9
+    more = _more_links(_open_members(stars, checked, first, reach), docs, size, percent, reach)
     of_class = _merged(first, cut(more))
     whole = members.join(of_class, F.col("rep") == F.col("node"), "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
     found = whole.groupBy("doc_id").agg(F.min("component").alias("found"))
@@ -155,20 +159,63 @@ def _merged(first: DataFrame, more: DataFrame) -> DataFrame:
     return moved.union(lone.join(first.select("node"), "node", "left_anti"))
 
 
-def _open_pairs(placed: DataFrame, checked: DataFrame, first: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket, neither its head, that are in different components and whose distances from the head differ by no
-    more than a link allows. Members are dealt to overlapping cells of that distance, and only cells with two components are joined."""
-    reach = 1.0 - percent / 100.0 + 1e-9
+def _open_members(stars: DataFrame, checked: DataFrame, first: DataFrame, reach: float) -> DataFrame:
+    """head, cell, rep, comp, far and n, the size of the cell: members of the buckets of a head, dealt to overlapping cells of
+    their distance from it, where a cell holds two components. Two of them can only be linked if they share a cell."""
     known = checked.select(F.col("a").alias("rep"), F.col("b").alias("head"), (1 - F.col("common") / F.greatest("total", F.lit(1))).alias("far"))
     comp = first.select(F.col("node").alias("rep"), "component")
-    rows = placed.join(known, ["rep", "head"]).join(comp, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"), "far")
+    rows = stars.select(F.col("a").alias("rep"), F.col("b").alias("head")).join(known, ["rep", "head"]).join(comp, "rep", "left")
     cell = F.floor(F.col("far") / reach)
-    rows = cut(rows.withColumn("cell", F.explode(F.array(cell, cell + 1))))
-    mixed = rows.groupBy("key", "cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "cell")
-    rows = rows.join(mixed, ["key", "cell"])
-    other = rows.select("key", "cell", F.col("rep").alias("b"), F.col("comp").alias("comp_b"), F.col("far").alias("far_b"))
+    rows = cut(rows.select("head", "rep", F.coalesce("component", "rep").alias("comp"), "far", F.explode(F.array(cell, cell + 1)).alias("cell")))
+    mixed = rows.groupBy("head", "cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    return cut(rows.join(spread(mixed.select("head", "cell", "n"), "n", "cell"), ["head", "cell"]))
+
+
+def _more_links(members: DataFrame, docs: DataFrame, size: int, percent: int, reach: float) -> DataFrame:
+    """(u, v): links between open members of different components. Cells of up to FEW members are compared pair by pair; larger ones in
+    pairs of blocks, which give back a link to each component at most."""
+    few = members.where(f"n <= {FEW}")
+    other = few.select("head", "cell", F.col("rep").alias("b"), F.col("comp").alias("comp_b"), F.col("far").alias("far_b"))
     near = (F.col("rep") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & (F.abs(F.col("far") - F.col("far_b")) <= reach)
-    return rows.join(other, ["key", "cell"]).where(near).select(F.col("rep").alias("a"), "b").distinct()
+    pairs = few.join(other, ["head", "cell"]).where(near).select(F.col("rep").alias("a"), "b").distinct()
+    of_few = _jaccard(pairs, docs, size).where(F.expr(f"100 * common >= {percent} * total")).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("rep"), F.col("text").cast("string").alias("text"))
+    parts = F.ceil(F.col("n") / BLOCK)
+    many = members.where(f"n > {FEW}").withColumn("parts", parts.cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    many = many.join(texts, "rep").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    many = many.select("head", "cell", F.least("block", "o").alias("bi"), F.greatest("block", "o").alias("bj"), "block", "rep", "comp", "far", "text")
+
+    def one(pdf):
+        return _block_links(pdf, size, percent, reach)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return of_few.union(many.groupBy("head", "cell", "bi", "bj").applyInPandas(one, f"u {kind}, v {kind}"))
+
+
+def _block_links(pdf: pd.DataFrame, size: int, percent: int, reach: float) -> pd.DataFrame:
+    h, d, n = text_sets(pa.array(pdf["text"].tolist(), pa.large_string()), size)
+    _, inverse = np.unique(h, return_inverse=True)
+    count = np.bincount(d, minlength=n)
+    begin = np.cumsum(count) - count
+    rep, comp, far, block = (pdf[c].to_numpy() for c in ("rep", "comp", "far", "block"))
+    same = pdf["bi"].iloc[0] == pdf["bj"].iloc[0]
+    u, v, flag = [], [], np.zeros(int(inverse.max(initial=-1)) + 1, np.int64)
+    for i in np.flatnonzero(block == pdf["bi"].iloc[0]):
+        may = (comp != comp[i]) & (np.abs(far - far[i]) <= reach) & (100 * np.minimum(count, count[i]) >= percent * np.maximum(count, count[i]))
+        may &= (np.arange(n) > i) if same else (block != block[i])
+        j = np.flatnonzero(may)
+        if not len(j):
+            continue
+        own = inverse[begin[i] : begin[i] + count[i]]
+        flag[own] = 1
+        hits = np.concatenate(([0], np.cumsum(flag[inverse])))
+        flag[own] = 0
+        common = hits[begin[j] + count[j]] - hits[begin[j]]
+        j = j[100 * common >= percent * (count[i] + count[j] - common)]
+        j = j[np.unique(comp[j], return_index=True)[1]]
+        u += [rep[i]] * len(j)
+        v += rep[j].tolist()
+    return pd.DataFrame({"u": np.array(u, rep.dtype), "v": np.array(v, rep.dtype)})
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -32,6 +32,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """Deal an aggregate's rows out by other columns than its keys. A join on the keys then shuffles both sides for itself, which is
+    what lets AQE split the other side's hot keys; the aggregate's own partitioning would forbid it."""
+    return df.repartition(*by)
+
+
 def in_bucket(doc_id: str = "doc_id", of: int = 4) -> F.Column:
     """crc32 of the id's decimal text modulo ``of``; null ids count as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % of
