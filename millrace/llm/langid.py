@@ -19,8 +19,8 @@ from millrace.llm.runtime import filter_rows, held_out, map_blocks
 from millrace.llm.textblock import TextBlock
 
 DIMS = 4096
-#: Bounds of the training sample and model: languages (the most frequent), texts a language, characters a text, centroids a language.
-MAX_LANGS, PER_LANG, MAX_CHARS, CENTROIDS = 200, 600, 20_000, 3
+#: Bounds of the training sample and model: languages (the most frequent), texts a language and in all, characters a text, centroids a language.
+MAX_LANGS, PER_LANG, MAX_TEXTS, MAX_CHARS, CENTROIDS = 200, 600, 6000, 20_000, 3
 #: Texts of fewer bytes are never rejected for their distance: too few n-grams to tell.
 MIN_BYTES = 400
 #: A text is rejected beyond this many times the distance that all but a thousandth of the language's training texts keep.
@@ -77,6 +77,7 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, max_chars: int = MAX_CHARS, c
     sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
     if not sizes:
         return None
+    per_lang = max(1, min(per_lang, MAX_TEXTS // len(sizes)))
     u = (F.xxhash64("doc_id") / F.lit(2.0**64)) + 0.5
     rate = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, 1.3 * per_lang / r["count"] + 20.0 / r["count"]))])
     rows = known.where(u <= rate[F.col("lang")]).select("lang", F.col("text").alias("t"), u.alias("u"), "doc_id").collect()
