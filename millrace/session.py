@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -37,3 +39,20 @@ def apply_semantics(spark: SparkSession) -> SparkSession:
     for key, value in SEMANTICS.items():
         spark.conf.set(key, value)
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once for each context, unless they were given it (it runs from an archive then)."""
+    sc = spark.sparkContext
+    home = os.path.dirname(os.path.abspath(__file__))
+    if getattr(sc, "_millrace_shipped", False) or not os.path.isdir(home):
+        return
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="millrace-package-")), "millrace.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(home):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("millrace", os.path.relpath(full, home)))
+    sc.addPyFile(path)
+    sc._millrace_shipped = True

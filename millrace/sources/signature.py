@@ -61,7 +61,7 @@ def verify_booking(headers: Mapping[str, str] | None, body: str, key: str | None
 
 
 def verified(scheme: str, key: str, now: float | None = None):
-    """A vectorised check for (headers map, body) columns: a function of two columns that gives a boolean."""
+    """A vectorised check for (headers map, body) columns: a function of two columns that gives a boolean. Workers need the package: see session.ship_package."""
     verify = {"crm": verify_crm, "booking": verify_booking}[scheme]
 
     @F.pandas_udf("boolean")
