@@ -38,8 +38,8 @@ class Model:
 
 
 def counts(block: TextBlock) -> np.ndarray:
-    """(texts, DIMS) counts of 1-, 2- and 3-byte n-grams of lower-cased texts, hashed."""
-    b = block.buf.astype(np.int64)
+    """(texts, DIMS) counts of 1-, 2- and 3-byte n-grams of lower-cased texts, hashed; all that can't be part of a letter reads as a space."""
+    b = np.where(((block.buf >= 97) & (block.buf <= 122)) | (block.buf >= 128), block.buf, 32).astype(np.int64)
     doc = np.repeat(np.arange(block.n), np.diff(block.off))
     out = np.bincount(doc * DIMS + b, minlength=block.n * DIMS)
     if len(b) > 1:
