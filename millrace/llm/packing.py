@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import ship_package
+
 CAPACITIES = (1024, 2048, 4096, 8192, 16384)
 OVERHEAD, ATTENTION = 128.0, 65536.0
 #: Pieces in a shard, on average: what one task holds.
@@ -77,6 +79,7 @@ def pack_lengths(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES) -
 
 def pack(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """doc_id, piece, start (first byte of the piece), length, bin_id, bin_offset and capacity of every piece."""
+    ship_package(docs.sparkSession)
     top = max(capacities)
     whole = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("n"))
     pieces = whole.select("doc_id", "n", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / top) - 1).cast("int"))).alias("piece"))

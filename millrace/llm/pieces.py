@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from millrace.llm.runtime import map_blocks
 from millrace.llm.textblock import U, mix
+from millrace.session import ship_package
 
 MARK = "▁"
 _WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -309,6 +310,7 @@ ENCODE_BYTES = 4 << 20
 
 
 def _shared(docs: DataFrame, path: str | None):
+    ship_package(docs.sparkSession)
     with open(path or default_model(), "rb") as f:  # of fixed size; goes to the workers with the broadcast
         return docs.sparkSession.sparkContext.broadcast(f.read())
 

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.session import ship_package
+
 #: Bytes of text handed to a numpy kernel at once. A single longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
 
@@ -75,6 +77,7 @@ def offsets(text: pa.Array):
 
 def map_blocks(df: DataFrame, fn: Callable, keep: list[str], out: list[T.StructField], text: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
     """Run ``fn(text array) -> list of columns`` over blocks of whole texts; ``keep`` columns pass through unchanged."""
+    ship_package(df.sparkSession)
     source = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("text"))
     schema = T.StructType([T.StructField(c, df.schema[c].dataType) for c in keep] + out)
     names = [f.name for f in schema.fields]
@@ -92,6 +95,7 @@ def map_blocks(df: DataFrame, fn: Callable, keep: list[str], out: list[T.StructF
 
 def filter_rows(df: DataFrame, keep_mask: Callable, text: str = "text") -> DataFrame:
     """Keep whole rows, every column untouched, for which ``keep_mask(text array)`` is true."""
+    ship_package(df.sparkSession)
     at = df.columns.index(text)
     names = [f"c{i}" for i in range(len(df.columns))]
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.runtime import blocks, text_of
+from millrace.session import ship_package
 
 #: Lengths that share a range of the two-level suffix sums.
 RANGE = 1024
@@ -49,6 +50,7 @@ def length(enc, text: str) -> int:
 
 def histogram(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """length, n_docs: how many documents have each encoded length."""
+    ship_package(docs.sparkSession)
     if path is None or pattern is None:
         path, pattern = default_vocabulary()
     with open(path, "rb") as f:  # the vocabulary, of fixed size, goes to the workers with the broadcast

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import ship_package
+
 K, EVERY = 20, 20
 #: How much pruning is relaxed; recall by brute force is measured in the tests.
 FACTOR = 1.15
@@ -131,6 +133,7 @@ def exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, factor: float = FACTOR, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest found of every row whose vec_id is divisible by ``every``."""
+    ship_package(vectors.sparkSession)
     e = F.col("embedding")
     finite = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     x = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), e.cast("array<double>").alias("x")).where(F.col("vec_id").isNotNull() & e.isNotNull() & finite & F.exists(e, lambda v: v != 0))
