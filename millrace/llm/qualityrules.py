@@ -32,7 +32,7 @@ MIN_CHARS, MIN_WORDS = 200, 40
 TRIM = 0.2
 #: Limit of a distance: LIMIT + WIDEN / sqrt(characters or words).
 CHAR_LIMIT, CHAR_WIDEN = 0.12, 3.0
-WORD_LIMIT, WORD_WIDEN = 0.21, 1.2
+WORD_LIMIT, WORD_WIDEN = 0.25, 1.3
 MIN_BASE_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 
 #: Frequent function words of languages in Latin script, lower case.
