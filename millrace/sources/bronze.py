@@ -61,7 +61,7 @@ def read_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def stream(spark: SparkSession, root: str, name: str, per_trigger: int = 1000) -> DataFrame:
-    """The same feed as an unbounded stream of new files."""
+    """The same feed as an unbounded stream of new files; _metadata tells when each landed."""
     t = CATALOG[name]
     fields = [T.StructField("value", T.StringType())] + ([T.StructField(t.partition, T.StringType())] if t.partition else [])
     df = spark.readStream.schema(T.StructType(fields)).option("maxFilesPerTrigger", per_trigger).format("text").load(f"{root}/{t.prefix}")

@@ -62,6 +62,13 @@ def booking_events(requests: DataFrame, body: str = "body") -> DataFrame:
     )
 
 
+def with_signature(parsed: DataFrame, verified: str | Column) -> DataFrame:
+    """The status contract with signatures: 400 malformed goes first, then 401 for a bad signature, whose event loses its key."""
+    ok = F.coalesce(F.col(verified) if isinstance(verified, str) else verified, F.lit(False))
+    refused = (F.col("status_code") == 200) & ~ok
+    return parsed.withColumn("key", F.when(~refused, F.col("key"))).withColumn("status_code", F.when(refused, 401).otherwise(F.col("status_code")))
+
+
 def once(landed: DataFrame, order: str | None = None) -> DataFrame:
     """One line a key, the last delivered if ``order`` tells; redelivery overwrites itself."""
     return latest_by(landed.where("key is not null"), ["key"], [desc(order) if order else desc("raw"), desc("raw")])

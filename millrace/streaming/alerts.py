@@ -152,11 +152,47 @@ def process(spark: SparkSession, batch: DataFrame, version: int, state_root: str
     dead.write(tried.unionByName(bad).groupBy("event_id").agg(F.sum("attempts").cast("int").alias("attempts"), F.last("error").alias("error")), version)
 
 
+def run_sweep(spark: SparkSession, state_root: str, version: int, owner_source: Callable[[DataFrame], DataFrame], notify: Callable[[DataFrame], None], now: int | None = None, limit: int = MAX_ROWS_PER_SWEEP) -> dict[str, int]:
+    """One scheduled pass over the worklist; returns its counts. ``owner_source`` may add a column ``failed`` for lookups that broke: those use up no retry."""
+    now = int(time.time()) if now is None else now
+    cache, waiting = StateTable(spark, f"{state_root}/owners", OWNERS), StateTable(spark, f"{state_root}/awaiting", AWAITING)
+    work = waiting.read(version)
+    asked = work.where("status = 'AWAITING'").select("lead_id").orderBy("lead_id").limit(limit)
+    answers = owner_source(asked)
+    failed = answers.where("failed").select("lead_id") if "failed" in answers.columns else asked.where("false")
+    found = landing.owner_rows(answers.join(failed, "lead_id", "left_anti").select("lead_id", "raw"), now)
+    swept = sweep(work, found, now, failed, limit=limit)
+    cache.write(cache.read(version).join(found.select("lead_id"), "lead_id", "left_anti").unionByName(found), version)
+    notify(escalation(swept))
+    counts = {r["next_status"]: r["count"] for r in swept.groupBy("next_status").count().collect()}
+    waiting.write(apply_sweep(work, swept), version)
+    return {"promoted": counts.get("PROMOTED", 0), "still_waiting": counts.get("AWAITING", 0), "exhausted": counts.get("EXHAUSTED", 0), "source_errors": failed.count()}
+
+
+PENDING = "raw string, landed_at long"
+
+
+def split_due(spark: SparkSession, batch: DataFrame, version: int, state_root: str, delay: int, now: int) -> DataFrame:
+    """Events (raw, landed_at) that have waited for ``delay`` seconds; younger ones are kept for a later batch."""
+    pending = StateTable(spark, f"{state_root}/pending", PENDING)
+    rows = pending.read(version).unionByName(batch.where("raw is not null").select("raw", "landed_at"))
+    pending.write(rows.where(F.col("landed_at") > now - delay), version)
+    return rows.where(F.col("landed_at") <= now - delay).select("raw")
+
+
 def run(spark: SparkSession, bronze_root: str, state_root: str, owner_source, send, delay: int = DELAY_SECONDS, now: Callable[[], int] = lambda: int(time.time()), **trigger):
-    """A streaming query over landed CRM events; by default one pass over what is there, each trigger ``delay`` seconds apart if given a processing time."""
+    """A streaming query over landed CRM events, each handled ``delay`` seconds after it landed.
 
-    def each(batch: DataFrame, number: int) -> None:
-        process(spark, batch, number + 1, state_root, owner_source, send, now())
+    By default it makes one pass over what is there (availableNow). With processingTime it runs on; a slow tick then makes a batch even
+    when nothing lands, so that waiting events fall due."""
 
-    writer = bronze.stream(spark, bronze_root, "crm_event").writeStream.foreachBatch(each).option("checkpointLocation", f"{state_root}/checkpoint")
+    def each(batch: DataFrame, number: int) -> None:
+        due = batch.select("raw") if not delay else split_due(spark, batch, number + 1, state_root, delay, now())
+        process(spark, due.where("raw is not null"), number + 1, state_root, owner_source, send, now())
+
+    events = bronze.stream(spark, bronze_root, "crm_event").select("raw", F.unix_timestamp("_metadata.file_modification_time").alias("landed_at"))
+    if "processingTime" in trigger:
+        tick = spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
+        events = events.union(tick.select(F.lit(None).cast("string").alias("raw"), F.unix_timestamp("timestamp").alias("landed_at")))
+    writer = events.writeStream.foreachBatch(each).option("checkpointLocation", f"{state_root}/checkpoint")
     return writer.trigger(**(trigger or {"availableNow": True})).start()

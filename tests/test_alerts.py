@@ -43,7 +43,7 @@ def test_stream_sends_once_and_keeps_misses(spark, land, tmp_path):
 
     clock = [1000]
     state = str(tmp_path / "state")
-    go = lambda: alerts.run(spark, root, state, lambda leads: owners, send, now=lambda: clock[0]).awaitTermination()
+    go = lambda: alerts.run(spark, root, state, lambda leads: owners, send, delay=0, now=lambda: clock[0]).awaitTermination()
     go()
     assert [s[0] for s in sent] == ["ev_1"] and "*Lead Owner:* Bob" in sent[0][1] and "*Funnel:* _pending_" in sent[0][1]
     clock[0], fail = 2000, set()
@@ -54,3 +54,34 @@ def test_stream_sends_once_and_keeps_misses(spark, land, tmp_path):
     assert {(r.event_id, r.status) for r in ledger.collect()} == {("ev_1", "SENT"), ("ev_2", "SENT")}
     assert [(r.lead_id, r.retry_count) for r in alerts.StateTable(spark, f"{state}/awaiting", alerts.AWAITING).read().collect()] == [("lead_2", 0)]
     assert bronze.exists(spark, f"{state}/failures")
+
+
+def test_events_wait_for_the_delay(spark, land, tmp_path):
+    root = land("crm/events/dt=2025-05-20/a.json", [crm("ev_1")])
+    sent, clock = [], [int((tmp_path / "bronze/crm/events/dt=2025-05-20/a.json").stat().st_mtime) + 10]
+    none = spark.createDataFrame([], "lead_id string, raw string")
+
+    def send(df):
+        sent.extend(r.event_id for r in df.collect())
+        return df.select("event_id", F.lit(True).alias("ok"), F.lit(None).cast("string").alias("error"))
+
+    go = lambda: alerts.run(spark, root, str(tmp_path / "s"), lambda leads: none, send, delay=600, now=lambda: clock[0]).awaitTermination()
+    go()
+    assert sent == []
+    clock[0] += 700
+    land("crm/events/dt=2025-05-21/b.json", [crm("ev_2", lead="lead_2")])
+    go()
+    assert "ev_1" in sent
+
+
+def test_run_sweep(spark, tmp_path):
+    state = str(tmp_path / "s")
+    work = spark.createDataFrame([(x, "e", 1, n, "AWAITING", None) for x, n in (("a", 0), ("b", 23), ("c", 1), ("d", 2))], alerts.AWAITING)
+    alerts.StateTable(spark, f"{state}/awaiting", alerts.AWAITING).write(work, 0)
+    answers = spark.createDataFrame([("a", '{"lead_owner": "Bob"}', False), ("b", None, False), ("c", None, False), ("d", None, True)], "lead_id string, raw string, failed boolean")
+    told = []
+    out = alerts.run_sweep(spark, state, 1, lambda leads: answers.join(leads, "lead_id", "left_semi"), lambda df: told.extend(df.collect()), now=50)
+    assert out == {"promoted": 1, "still_waiting": 1, "exhausted": 1, "source_errors": 1} and len(told) == 1
+    rows = {r.lead_id: (r.status, r.retry_count) for r in alerts.StateTable(spark, f"{state}/awaiting", alerts.AWAITING).read().collect()}
+    assert rows == {"b": ("EXHAUSTED", 24), "c": ("AWAITING", 2), "d": ("AWAITING", 2)}
+    assert [(r.lead_id, r.lead_owner) for r in alerts.StateTable(spark, f"{state}/owners", alerts.OWNERS).read().collect()] == [("a", "Bob")]
