@@ -34,6 +34,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table that we wrote, through Spark's own file systems."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def spread(df: DataFrame, *by: str) -> DataFrame:
     """Deal an aggregate's rows out by other columns than its keys. A join on the keys then shuffles both sides for itself, which is
     what lets AQE split the other side's hot keys; the aggregate's own partitioning would forbid it."""
