@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import langid, linededup, neardup, packing, qualitycrf
-from millrace.llm.runtime import checkpoint_root, table
+from millrace.llm.runtime import checkpoint_root, remove, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,10 +48,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet in the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents, each written as Parquet in the shared folder and read again; a stage's table goes once the next one's is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     root = f"{checkpoint_root(spark)}/corpus-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{root}/{name}")
         docs = spark.read.parquet(f"{root}/{name}")
+        if before is not None:
+            remove(spark, before)
+        before = f"{root}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
