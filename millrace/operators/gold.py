@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from millrace.functions.dialect import asc, desc, greatest_strict, ratio, ratio_to, round_to, week_start
 from millrace.operators.silver import BuildContext, Tables, _dated
 
-TENURE_CAVEAT = "Tenure runs from the first observed meeting to the end of the observed window, as hire dates are not in the feed."
-NOT_MEASURABLE = "NOT MEASURABLE: no viewing session carries an e-mail, so prior video cannot be matched to bookings."
-LOWER_BOUND = "LOWER BOUND: only identified viewers can be matched; true video influence is at least this."
+#: The texts that go with the figures.
+TENURE_CAVEAT = "tenure proxied as first-meeting to window-end; true tenure needs an HR roster with effective dates, which Calendly does not provide"
+NOT_MEASURABLE = "NOT MEASURABLE: no video session carries an email, so the bridge cannot join. This is not evidence that video drove no bookings."
+LOWER_BOUND = "LOWER BOUND: anonymous watchers cannot join, so true video influence is at least this."
 
 
 def _zero() -> Column:

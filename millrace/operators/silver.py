@@ -13,7 +13,8 @@ from millrace.functions.dialect import (
 
 Tables = dict[str, DataFrame]
 
-COVERAGE_CAVEAT = "Rates cover leads seen in CRM events so far; owner assignment lags lead creation, so recent leads understate the eventual match rate."
+#: Fixed value: the text that goes with the rates.
+COVERAGE_CAVEAT = "unmatched leads skew recent - owner assignment has not landed yet"
 LATE_CHANNEL = "other"
 
 

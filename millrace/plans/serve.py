@@ -9,7 +9,7 @@ from millrace.functions.dialect import ratio
 
 #: Labels of weekdays (1 is Monday) and channels.
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
-CHANNEL_LABELS = {"facebook_paid_ads": "Facebook", "youtube_paid_ads": "YouTube", "tiktok_paid_ads": "TikTok", "other": "Other"}
+CHANNEL_LABELS = {"facebook_paid_ads": "Facebook", "youtube_paid_ads": "YouTube", "tiktok_paid_ads": "TikTok", "other": "Other / organic"}
 
 
 def _read(spark: SparkSession, name: str, where: str | Column | None, order_by: list[str | Column] | str | Column | None, limit: int | None) -> DataFrame:

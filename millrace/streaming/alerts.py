@@ -17,6 +17,10 @@ from millrace.sources import bronze, landing
 
 LEASE_SECONDS, DELAY_SECONDS = 120, 600
 MAX_RETRIES, MAX_ROWS_PER_SWEEP, LISTED, MAX_RECEIVES = 24, 500, 20, 5
+#: The texts of notices and escalations.
+TITLE, GIVEN_UP_TITLE = "*New Lead Alert*", "*Owner reconciliation exhausted*"
+LABELS = ("Name", "Lead ID", "Created Date", "Label", "Email", "Lead Owner", "Funnel")
+NOT_PROVIDED, PENDING_VALUE, PENDING_OWNER = "_not provided_", "_pending_", "_pending assignment_"
 LEDGER = "event_id string, status string, claimed_at long, sent_at long"
 OWNERS = "lead_id string, lead_owner string, lead_email string, funnel string, display_name string, status_label string, date_created string, cached_at long"
 AWAITING = "lead_id string, event_id string, first_seen_at long, retry_count int, status string, last_attempt_at long"
@@ -77,16 +81,14 @@ def escalation(swept: DataFrame, max_retries: int = MAX_RETRIES, listed: int = L
     names = gone.orderBy("lead_id").limit(listed).agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("• `"), "lead_id", F.lit("`")))), "\n").alias("names"))
     both = gone.agg(F.count("*").alias("n")).crossJoin(names).where("n > 0")
     more = F.when(F.col("n") > listed, F.concat(F.lit("\n…and "), F.col("n") - listed, F.lit(" more"))).otherwise("")
-    return both.select(F.concat(F.lit("*Owner reconciliation exhausted* — "), "n", F.lit(f" lead(s) had no owner file after {max_retries} hourly sweeps:\n"), "names", more).alias("text"), "n")
+    return both.select(F.concat(F.lit(f"{GIVEN_UP_TITLE} — "), "n", F.lit(f" lead(s) had no owner file after {max_retries} hourly sweeps:\n"), "names", more).alias("text"), "n")
 
 
 def alert_text(display_name: Column, lead_id: Column, date_created: Column, status_label: Column, email: Column, owner: Column, funnel: Column) -> Column:
     """The notice; a field that is missing says so."""
-    part = lambda label, c, blank="": F.concat(F.lit(f"*{label}:* "), F.coalesce(F.nullif(c, F.lit("")), F.lit(blank)))
-    lines = [
-        F.lit("*New Lead Alert*"), part("Name", display_name, "_not provided_"), F.concat(F.lit("*Lead ID:* `"), F.coalesce(lead_id, F.lit("")), F.lit("`")), part("Created Date", date_created), part("Label", status_label),
-        part("Email", email, "_pending_"), part("Lead Owner", owner, "_pending assignment_"), part("Funnel", funnel, "_pending_"),
-    ]
+    values = (display_name, F.concat(F.lit("`"), F.coalesce(lead_id, F.lit("")), F.lit("`")), date_created, status_label, email, owner, funnel)
+    blanks = (NOT_PROVIDED, "", "", "", PENDING_VALUE, PENDING_OWNER, PENDING_VALUE)
+    lines = [F.lit(TITLE)] + [F.concat(F.lit(f"*{n}:* "), F.coalesce(F.nullif(v, F.lit("")), F.lit(b))) for n, v, b in zip(LABELS, values, blanks)]
     return F.concat_ws("\n", *lines)
 
 
@@ -169,12 +171,12 @@ def run_sweep(spark: SparkSession, state_root: str, version: int, owner_source:
     return {"promoted": counts.get("PROMOTED", 0), "still_waiting": counts.get("AWAITING", 0), "exhausted": counts.get("EXHAUSTED", 0), "source_errors": failed.count()}
 
 
-PENDING = "raw string, landed_at long"
+WAITING = "raw string, landed_at long"
 
 
 def split_due(spark: SparkSession, batch: DataFrame, version: int, state_root: str, delay: int, now: int) -> DataFrame:
     """Events (raw, landed_at) that have waited for ``delay`` seconds; younger ones are kept for a later batch."""
-    pending = StateTable(spark, f"{state_root}/pending", PENDING)
+    pending = StateTable(spark, f"{state_root}/pending", WAITING)
     rows = pending.read(version).unionByName(batch.where("raw is not null").select("raw", "landed_at"))
     pending.write(rows.where(F.col("landed_at") > now - delay), version)
     return rows.where(F.col("landed_at") <= now - delay).select("raw")

@@ -52,4 +52,4 @@ def test_headlines(spark):
     s = spark.createDataFrame([("p", 9, 1, "x", 2), ("p", 9, 1, "y", 3), ("q", 9, 1, "x", 9)], "perspective string, hour_of_day long, day_of_week long, channel string, bookings long")
     assert [(r.bookings, r.dow_label) for r in serve.heatmap(s, "p").collect()] == [(5, "Mon")]
     f = spark.createDataFrame([("other", 4, 2, 1), ("x", 0, 0, 0)], "channel string, bookings long, bookings_with_email long, bookings_with_prior_video long")
-    assert {r.channel_label: r.email_coverage for r in serve.funnel_by_channel(f).collect()} == {"Other": 0.5, "x": None}
+    assert {r.channel_label: r.email_coverage for r in serve.funnel_by_channel(f).collect()} == {"Other / organic": 0.5, "x": None}
