@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.runtime import cut
+from millrace.llm.runtime import cut, spread
 
 MIN_CHARS = 50
 _LAST = 2**63 - 1
@@ -42,7 +42,7 @@ def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     lines = docs.where(F.col("text").isNotNull()).select(_key().alias("d"), F.posexplode(marks).alias("p", "m")).select("d", "p", "m.h1", "m.h2", "m.w")
     lines = cut(lines.distinct() if _may_repeat(docs) else lines)
     classes = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("d", "p")).alias("head")).where("n > 1").select("h1", "h2", "head")
-    alike = lines.join(classes, ["h1", "h2"]).select("d", "p", "w", F.col("head.d").alias("hd"), F.col("head.p").alias("hp"))
+    alike = lines.join(spread(classes, "head"), ["h1", "h2"]).select("d", "p", "w", F.col("head.d").alias("hd"), F.col("head.p").alias("hp"))
     island = F.col("p") - F.row_number().over(Window.partitionBy("d").orderBy("p"))
     alike = alike.withColumn("i", island)
     run = Window.partitionBy("d", "i")
@@ -71,7 +71,7 @@ def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         own = own.join(a, ["d", "p"]).join(b, ["d", "q"])
         by = ["m", "ad", "ap", "bd", "bp"]
         heads = own.groupBy(*by).agg(F.count("*").alias("n"), F.min(F.struct("d", "p")).alias("head")).where("n > 1").drop("n")
-        later = own.join(heads, by).where("d <> head.d or p <> head.p")
+        later = own.join(spread(heads, "head"), by).where("d <> head.d or p <> head.p")
         copies = copies.union(later.select("d", F.col("p").alias("lo"), (F.col("p") + F.col("m") - 1).alias("hi")))
     # overlapping and touching runs together are maximal runs
     order = Window.partitionBy("d").orderBy("lo", "hi")
@@ -92,7 +92,7 @@ def _double(ranks: DataFrame, step: int) -> DataFrame:
     pairs = ranks.join(next_, ["d", "p"])
     by = ["hd", "hp", "nd", "np"]
     heads = pairs.groupBy(*by).agg(F.count("*").alias("n"), F.min(F.struct("d", "p")).alias("head")).where("n > 1").drop("n")
-    return pairs.join(heads, by).select("d", "i", "p", F.col("head.d").alias("hd"), F.col("head.p").alias("hp"))
+    return pairs.join(spread(heads, "head"), by).select("d", "i", "p", F.col("head.d").alias("hd"), F.col("head.p").alias("hp"))
 
 
 def _with_kept(docs: DataFrame, min_chars: int) -> DataFrame:
