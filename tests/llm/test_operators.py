@@ -80,16 +80,12 @@ def brute_runs(rows, w):
     first, gone = {}, {i: set() for i in docs}
     for i in sorted(docs):
         for a in range(len(docs[i])):
-            run = ()
+            run, size = "", 0
             for b in range(a, len(docs[i])):
-                run += (docs[i][b],)
-                if sum(len(x) + 1 for x in run) >= w:
-                    if run in first:
+                run, size = run + docs[i][b] + "\n", size + len(docs[i][b]) + 1
+                if size >= w:
+                    if first.setdefault(run, (i, a)) != (i, a):
                         gone[i] |= set(range(a, b + 1))
-                    else:
-                        first[run] = (i, a)
-                        if sum(len(x) + 1 for x in run) >= 4 * w:
-                            break
     return docs, gone
 
 
