@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.runtime import blocks, text_of
+from millrace.llm.runtime import blocks, cut, text_of
 from millrace.session import ship_package
 
 #: Lengths that share a range of the two-level suffix sums.
@@ -109,4 +109,4 @@ def quantile(sums: DataFrame, q: float) -> int | None:
 
 
 def counted(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
-    return suffix_sums(histogram(docs, path, pattern))
+    return suffix_sums(cut(histogram(docs, path, pattern)))  # both levels of sums read the histogram, and encoding costs most
