@@ -90,9 +90,15 @@ def sketches(docs: DataFrame, size: int = 4, bands: int = BANDS, rows: int = ROW
     return map_blocks(docs, lambda text: _sketch_columns(text, size, bands, rows), ["doc_id"], fields)
 
 
-def _jaccard(pairs: DataFrame, docs: DataFrame, size: int) -> DataFrame:
-    """(a, b, j): exact similarity of each pair of doc_ids. Texts are fetched by shuffled joins whose hot keys AQE splits."""
+def _texts_of(stars: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id and text of all documents that share a bucket with another: every later comparison reads these only."""
+    ids = stars.select(F.col("a").alias("doc_id")).union(stars.select(F.col("b").alias("doc_id"))).distinct()
     texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
+    return cut(texts.join(ids, "doc_id", "left_semi"))
+
+
+def _jaccard(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(a, b, common, total): exact intersection and union of each pair of doc_ids. Texts are fetched by shuffled joins whose hot keys AQE splits."""
     both = (
         pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a")
         .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
@@ -126,12 +132,13 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS,
     sk = cut(sketches(docs, size, bands, rows))
     known = sk.where("n_shingles > 0 and doc_id is not null")
     classes = cut(known.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")))
-    members = known.join(spread(classes, "rep", "s1", "s2"), ["s1", "s2"]).select("doc_id", "rep")
+    members = known.join(classes, ["s1", "s2"]).select("doc_id", "rep")
     reps = known.join(classes.select("s1", "s2", F.col("rep").alias("doc_id")), ["s1", "s2", "doc_id"], "left_semi")
-    entries = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep")).distinct()
+    entries = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("rep"))
     heads = entries.groupBy("key").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1").select("key", "head")
     stars = cut(entries.join(spread(heads, "head", "key"), "key").where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct())
-    checked = cut(_jaccard(stars, docs, size))
+    texts = _texts_of(stars, docs)
+    checked = cut(_jaccard(stars, texts, size))
     linked = F.expr(f"100 * common >= {percent} * total")
     # a doc_id that stands on several rows joins the classes of all its texts
     twice = members.groupBy("doc_id").agg(F.min("rep").alias("v"), F.max("rep").alias("w")).where("v <> w").select("doc_id")
@@ -139,7 +146,7 @@ def link(docs: DataFrame, size: int = 5, percent: int = 80, bands: int = BANDS,
     edges = checked.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v")).union(joins)
     first = components(edges)
     reach = 1.0 - percent / 100.0 + 1e-9
-    more = _more_links(_open_members(stars, checked, first, reach), docs, size, percent, reach)
+    more = _more_links(_open_members(stars, checked, first, reach), texts, size, percent, reach)
     of_class = _merged(first, cut(more))
     whole = members.join(of_class, F.col("rep") == F.col("node"), "left").select("doc_id", F.coalesce("component", "rep").alias("component"))
     found = whole.groupBy("doc_id").agg(F.min("component").alias("found"))
@@ -171,24 +178,23 @@ def _open_members(stars: DataFrame, checked: DataFrame, first: DataFrame, reach:
     return cut(rows.join(spread(mixed.select("head", "cell", "n"), "n", "cell"), ["head", "cell"]))
 
 
-def _more_links(members: DataFrame, docs: DataFrame, size: int, percent: int, reach: float) -> DataFrame:
+def _more_links(members: DataFrame, texts: DataFrame, size: int, percent: int, reach: float) -> DataFrame:
     """(u, v): links between open members of different components. Cells of up to FEW members are compared pair by pair; larger ones in
     pairs of blocks, which give back a link to each component at most."""
     few = members.where(f"n <= {FEW}")
     other = few.select("head", "cell", F.col("rep").alias("b"), F.col("comp").alias("comp_b"), F.col("far").alias("far_b"))
     near = (F.col("rep") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & (F.abs(F.col("far") - F.col("far_b")) <= reach)
     pairs = few.join(other, ["head", "cell"]).where(near).select(F.col("rep").alias("a"), "b").distinct()
-    of_few = _jaccard(pairs, docs, size).where(F.expr(f"100 * common >= {percent} * total")).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").alias("rep"), F.col("text").cast("string").alias("text"))
+    of_few = _jaccard(pairs, texts, size).where(F.expr(f"100 * common >= {percent} * total")).select(F.col("a").alias("u"), F.col("b").alias("v"))
     parts = F.ceil(F.col("n") / BLOCK)
     many = members.where(f"n > {FEW}").withColumn("parts", parts.cast("int")).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    many = many.join(texts, "rep").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    many = many.join(texts.withColumnRenamed("doc_id", "rep"), "rep").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     many = many.select("head", "cell", F.least("block", "o").alias("bi"), F.greatest("block", "o").alias("bj"), "block", "rep", "comp", "far", "text")
 
     def one(pdf):
         return _block_links(pdf, size, percent, reach)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = texts.schema["doc_id"].dataType.simpleString()
     return of_few.union(many.groupBy("head", "cell", "bi", "bj").applyInPandas(one, f"u {kind}, v {kind}"))
 
 
