@@ -21,10 +21,9 @@ from millrace.llm.textblock import TextBlock
 DIMS = 4096
 #: Bounds of the training sample and model: languages (the most frequent), texts a language and in all, characters a text, centroids a language.
 MAX_LANGS, PER_LANG, MAX_TEXTS, MAX_CHARS, CENTROIDS = 200, 600, 6000, 20_000, 3
-#: Texts of fewer bytes are never rejected for their distance: too few n-grams to tell.
-MIN_BYTES = 400
-#: A text is rejected beyond this many times the distance that all but a thousandth of the language's training texts keep.
-SLACK = 1.5
+#: A text of n distinct n-grams is rejected if it's farther than the language's limit + WIDEN / sqrt(n), so that short and repetitive
+#: texts get more room. The limit is the median of the training texts' distances less their room, and SPREADS median absolute deviations.
+WIDEN, SPREADS = 4.0, 24.0
 TEMPERATURE = 0.03
 
 
@@ -34,7 +33,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray  # (n, DIMS), unit length
     lang_of: np.ndarray  # centroid -> language
-    limit: np.ndarray  # language -> largest distance accepted
+    limit: np.ndarray  # language -> largest distance accepted, less the room for few n-grams
 
 
 def counts(block: TextBlock) -> np.ndarray:
@@ -58,6 +57,11 @@ def vectors(c: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-9)
 
 
+def room(c: np.ndarray) -> np.ndarray:
+    """How much farther than its language's limit a text with these counts may be."""
+    return WIDEN / np.sqrt(np.maximum((c > 0).sum(1), 1))
+
+
 def _cluster(v: np.ndarray, k: int) -> np.ndarray:
     """Spherical k-means from farthest-first seeds."""
     seeds = [v.mean(0)]
@@ -71,6 +75,16 @@ def _cluster(v: np.ndarray, k: int) -> np.ndarray:
     return c
 
 
+def _distance(c: np.ndarray, v: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Distances of training texts from the nearest centroid, less their room."""
+    return 1.0 - (v @ centroids.T).max(1) - room(c)
+
+
+def _robust_limit(far: np.ndarray) -> float:
+    middle = np.median(far)
+    return float(middle + SPREADS * np.median(np.abs(far - middle)))
+
+
 def fit(docs: DataFrame, per_lang: int = PER_LANG, max_chars: int = MAX_CHARS, centroids: int = CENTROIDS) -> Model | None:
     """Train on a bounded sample of texts outside the held-out fourth; the least hashes of doc_id of each language."""
     known = docs.where(~held_out()).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & F.length("text").between(1, max_chars))
@@ -93,10 +107,10 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, max_chars: int = MAX_CHARS, c
     cents, lang_of, limit = [], [], []
     for i, g in enumerate(langs):
         v = vectors(c[g], idf)
-        own = _cluster(v, centroids)
-        long = np.array([len(t.encode()) >= MIN_BYTES for t in of[g]])
-        far = 1.0 - (v[long] if long.any() else v) @ own.T
-        limit.append(float(min(1.0, SLACK * np.quantile(far.min(1), 0.999))))
+        # texts too far from the language's mean are left out, or junk would get centroids of its own
+        far = _distance(c[g], v, _cluster(v, 1))
+        own = _cluster(v[far <= _robust_limit(far)], centroids)
+        limit.append(_robust_limit(_distance(c[g], v, own)))
         cents.append(own)
         lang_of += [i] * len(own)
     return Model(langs, idf, np.concatenate(cents).astype(np.float32), np.array(lang_of), np.array(limit))
@@ -111,12 +125,13 @@ def predict(model: Model | None, text: pa.Array) -> tuple[list[str], np.ndarray,
         letters[i] = any(ch.isalpha() for ch in text[int(i)].as_py())
     if model is None:
         return ["und"] * block.n, np.zeros(block.n), ~letters
-    sim = vectors(counts(block), model.idf) @ model.centroids.T
+    c = counts(block)
+    sim = vectors(c, model.idf) @ model.centroids.T
     by = np.stack([sim[:, model.lang_of == i].max(1) for i in range(len(model.langs))], axis=1)
     best = by.argmax(1)
     top = by[np.arange(block.n), best]
     score = 1.0 / np.exp((by - top[:, None]).astype(float) / TEMPERATURE).sum(1)
-    far = (1.0 - top > model.limit[best]) & (np.diff(block.off) >= MIN_BYTES)
+    far = 1.0 - top > np.minimum(1.0, model.limit[best] + room(c))
     return [model.langs[b] if ok else "und" for b, ok in zip(best, letters)], np.where(letters, score, 0.0), far | ~letters
 
 

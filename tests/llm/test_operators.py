@@ -247,6 +247,31 @@ def test_language_id(larger, odd, none):
     assert langid.predict(model, pa.array([far], pa.large_string()))[2].tolist() == [True]
 
 
+ITALIAN = "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, ché la diritta via era smarrita. Ahi quanto a dir qual era è cosa dura esta selva selvaggia e aspra e forte che nel pensier rinova la paura! Tant'è amara che poco è più morte; ma per trattar del ben ch'io vi trovai, dirò de l'altre cose ch'i' v'ho scorte. Io non so ben ridir com'i' v'intrai, tant'era pien di sonno a quel punto che la verace via abbandonai."
+PORTUGUESE = "As armas e os barões assinalados que da ocidental praia lusitana, por mares nunca de antes navegados, passaram ainda além da Taprobana, em perigos e guerras esforçados mais do que prometia a força humana, e entre gente remota edificaram novo reino, que tanto sublimaram."
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_language_rejects_others_in_latin_script(spark, sf):
+    """At few texts a language and at all 600."""
+    docs = spark.read.parquet(f"{SMALL.replace('0.001', sf)}/documents.parquet")
+    model = langid.fit(docs)
+    rng = random.Random(1)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") if rng.random() < 0.85 else " " for _ in range(n))
+    far = [ITALIAN, 2 * ITALIAN, PORTUGUESE, letters(400), letters(858), letters(2000), letters(20_000)]
+    assert langid.predict(model, pa.array(far, pa.large_string()))[2].all()
+    own = langid.identify(docs.where("lang is not null"), model)
+    assert own.agg(F.avg(F.col("rejected").cast("int"))).first()[0] < 0.01
+
+
+def test_language_limit_is_unmoved_by_junk(spark, larger):
+    docs = larger["documents"].select("doc_id", "text", "lang")
+    rng = random.Random(2)
+    junk = spark.createDataFrame([(10**6 + k, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=2000)), "es") for k in range(8)], docs.schema)
+    clean, mixed = (langid.fit(d) for d in (docs, docs.union(junk)))
+    assert mixed.limit == pytest.approx(clean.limit, abs=0.05)
+
+
 def test_neighbours(spark, small):
     e = small["embeddings"].toPandas()
     x = np.stack(e.embedding.to_numpy()).astype(float)
