@@ -1,7 +1,7 @@
 """Line dedup: repeated runs of lines are found by prefix doubling over the corpus's line sequences; later copies go.
 
 A run is a sequence of consecutive lines of one document. It goes if an equal run starts at an earlier place, in order of
-(doc_id, line number), and if it holds at least ``min_chars`` characters, each line counting its newline. That is so exactly
+(doc_id, line number), or of (doc_id, hash of the text, line number) where several rows have a doc_id or none, and if it holds at least ``min_chars`` characters, each line counting its newline. That is so exactly
 for the lines that some shortest such run covers: the shortest from a line on, or the shortest up to a line. So only
 runs of at most ``min_chars`` lines are compared, however long the repeated runs are.
 
@@ -12,8 +12,8 @@ keeps suffixes with an equal elsewhere only, and only where some shortest run is
 compare the ranks at two overlapping depths. All of it is aggregation, with map-side combination, and equi-joins on keys
 whose hot ones AQE splits; there is no Python.
 
-Cases: null texts stay null and empty texts empty; rows that repeat a doc_id with the same lines are the same place and
-aren't copies of each other; a null doc_id comes after all others; blank lines are lines; an empty table gives an empty
+Cases: null texts stay null and empty texts empty; rows that repeat a doc_id, or have none, are the same place if their texts
+are equal, and aren't copies of each other then, and are documents of their own if not; a null doc_id comes after all others; blank lines are lines; an empty table gives an empty
 table; all other columns stay as they are."""
 
 from __future__ import annotations
@@ -31,16 +31,21 @@ def _lines() -> F.Column:
     return F.split(F.col("text"), "\n", -1)
 
 
-def _key() -> F.Column:
+def _id() -> F.Column:
     return F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
 
 
-def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Maximal runs of lines to delete: d (doc_id, or the largest long for null), lo and hi (first and last line, from 0)."""
+def _key(repeat: bool) -> F.Column:
+    """What names a row's text, in the order of places: the doc_id if no other row has it, else along with the text's hashes."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), _id().alias("id"), F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(7), "text").alias("t2")) if repeat else _id()
+
+
+def repeated_runs(docs: DataFrame, repeat: bool, min_chars: int = MIN_CHARS) -> DataFrame:
+    """Maximal runs of lines to delete: d (the row's key), lo and hi (first and last line, from 0)."""
     w = min_chars
     marks = F.transform(_lines(), lambda s: F.struct(F.xxhash64(s).alias("h1"), F.xxhash64(s, F.lit(7)).alias("h2"), F.least(F.length(s) + 1, F.lit(w)).alias("w")))
-    lines = docs.where(F.col("text").isNotNull()).select(_key().alias("d"), F.posexplode(marks).alias("p", "m")).select("d", "p", "m.h1", "m.h2", "m.w")
-    lines = cut(lines.distinct() if _may_repeat(docs) else lines)
+    lines = docs.where(F.col("text").isNotNull()).select(_key(repeat).alias("d"), F.posexplode(marks).alias("p", "m")).select("d", "p", "m.h1", "m.h2", "m.w")
+    lines = cut(lines.distinct() if repeat else lines)
     classes = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("d", "p")).alias("head")).where("n > 1").select("h1", "h2", "head")
     alike = lines.join(spread(classes, "head"), ["h1", "h2"]).select("d", "p", "w", F.col("head.d").alias("hd"), F.col("head.p").alias("hp"))
     island = F.col("p") - F.row_number().over(Window.partitionBy("d").orderBy("p"))
@@ -81,8 +86,8 @@ def repeated_runs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def _may_repeat(docs: DataFrame) -> bool:
-    """Whether two rows have the same doc_id, null counting as one."""
-    return not docs.groupBy("doc_id").count().where("count > 1").isEmpty()
+    """Whether two rows have the same doc_id, null counting as the largest."""
+    return not docs.groupBy(_id().alias("id")).count().where("count > 1").isEmpty()
 
 
 def _double(ranks: DataFrame, step: int) -> DataFrame:
@@ -97,8 +102,9 @@ def _double(ranks: DataFrame, step: int) -> DataFrame:
 
 def _with_kept(docs: DataFrame, min_chars: int) -> DataFrame:
     """docs with __lines (all lines) and __gone (array of deleted runs, in order; null if none)."""
-    gone = repeated_runs(docs, min_chars).groupBy("d").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("__gone")).withColumnRenamed("d", "__d")
-    return docs.withColumn("__key", _key()).join(gone, F.col("__key") == F.col("__d"), "left")
+    repeat = _may_repeat(docs)
+    gone = repeated_runs(docs, repeat, min_chars).groupBy("d").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("__gone")).withColumnRenamed("d", "__d")
+    return docs.withColumn("__key", _key(repeat)).join(gone, F.col("__key") == F.col("__d"), "left")
 
 
 def _rest() -> F.Column:

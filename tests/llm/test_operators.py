@@ -110,6 +110,30 @@ def test_line_dedup_odd(odd, none):
     assert linededup.digest(none).count() == 0 and linededup.remove_repeats(none).count() == 0
 
 
+def test_line_dedup_tells_texts_of_one_id_apart(spark, odd):
+    """A run that goes from one row doesn't take the same line numbers of another with the same doc_id, or without one too."""
+    own = {r.text for r in linededup.remove_repeats(odd).where("doc_id = 14").collect()}
+    assert own == {"", odd_rows()[17][1]}
+    last = 2**63 - 1
+    copied = "\n".join(f"line number {k} of the passage that is copied" for k in range(4))
+    mine = [f"nothing like text {k}, at all, anywhere, in any other row of this table" for k in range(4)]
+    rows = [(1, copied), (None, copied), (None, mine[0]), (None, mine[1] + "\n" + copied), (None, None), (2, copied), (2, mine[2]), (last, mine[3]), (last, copied)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.text) for r in linededup.remove_repeats(df).collect()}
+    assert got == {(1, copied), (None, ""), (None, mine[0]), (None, mine[1]), (None, None), (2, ""), (2, mine[2]), (last, mine[3]), (last, "")}
+    assert linededup.digest(df).agg(F.sum("n_deleted")).first()[0] == 16
+
+
+def test_line_dedup_brute_force_of_rows_with_equal_ids(spark):
+    rng = random.Random(10)
+    rows = [(rng.choice([None, 1, 2]), "\n".join([f"row {i}"] + [rng.choice(["a", "bb", "ccc ccc", "", "dd d", "a long line of its own"]) for _ in range(rng.randint(0, 14))])) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    order = [r.text for r in df.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("text")).collect()]
+    docs, gone = brute_runs(list(enumerate(order)), 20)
+    want = sorted("\n".join(x for k, x in enumerate(docs[i]) if k not in gone[i]) for i in docs)
+    assert sorted(r.text for r in linededup.remove_repeats(df, 20).collect()) == want
+
+
 def test_near_dedup_odd(odd, none):
     rows = neardup.link(odd, 4).collect()
     assert len(rows) == odd.count()
