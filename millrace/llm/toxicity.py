@@ -2,8 +2,8 @@
 
 Token labels come from the labelled texts: a token of a toxic text is toxic if its word, or a prefix of it, is found in
 toxic texts and next to never in others (a lower confidence bound of the log odds). The CRF then sees those log odds, the
-neighbours' and the token's shape. A text's score is the chance that at least two of its tokens are toxic, where the least
-number of tokens is a parameter.
+neighbours' and the token's shape. A text's score is the chance that one of its certain tokens or at least two of its others are
+toxic, where the least number of the others is a parameter.
 
 Cases: null and empty texts score 0; repeated rows score alike, for a score depends on the text only; without labels of both
 kinds every text scores 0; an empty table gives an empty table; extra columns pass by."""
@@ -28,8 +28,10 @@ THRESHOLD = 0.3
 PER_CLASS, MAX_CHARS = 2500, 20_000
 #: Lengths in bytes of the prefixes that count besides the word; 0 is the word.
 PARTS = (0, 4, 5, 6)
-#: A toxic token's word or prefix stands in so many contexts, and in that share of the toxic texts' number, at least.
-MIN_CONTEXTS, MIN_SHARE, BOUND, LEAST_TOKENS = 3, 0.01, 1.8, 2
+#: A toxic token's word or prefix stands in so many contexts at least, however large the sample.
+MIN_CONTEXTS, BOUND, LEAST_TOKENS = 3, 1.8, 2
+#: A token of at least this marginal is certain: one will do. Plain words that share a prefix with a toxic one stay below it.
+CERTAIN = 0.997
 #: Marginals below this don't add up: the training sample holds few plain tokens, so over thousands of them they'd sum to a false alarm.
 FAINT = 0.25
 _EDGE = np.zeros(256, bool)
@@ -94,7 +96,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_char
         k, inv = np.unique(h, return_inverse=True)
         t, c = (np.bincount(distinct_pairs(context[of], inv[of])[1], minlength=len(k)).astype(float) for of in (y[wd], ~y[wd]))
         low = np.log((t + 0.5) / n1) - np.log((c + 0.5) / n0) - 1.5 * np.sqrt(1.0 / (t + 0.5) + 1.0 / (c + 0.5))
-        use = (t >= np.maximum(MIN_CONTEXTS, MIN_SHARE * n1)) & (low > 1.0)
+        use = (t >= MIN_CONTEXTS) & (low > 1.0)
         keys.append(k[use])
         odds.append(low[use])
     x, first, best = token_features(block, s, e, wd, hashes, keys, odds)
@@ -121,7 +123,8 @@ def scores(model: Model | None, text: pa.Array, least: int = LEAST_TOKENS) -> tu
     p = np.where(p < FAINT, 0.0, p)
     log0 = np.bincount(wd, np.log1p(-p), block.n)
     zero = np.exp(log0)
-    one = zero * np.bincount(wd, p / (1 - p), block.n)
+    # exactly one, and that one not certain
+    one = zero * np.bincount(wd, np.where(p < CERTAIN, p / (1 - p), 0.0), block.n)
     score = 1.0 - zero - (one if least >= 2 else 0.0)
     hit = np.flatnonzero(p >= 0.5)
     start, end = none.copy(), none.copy()

@@ -257,6 +257,28 @@ def test_classifiers(small, odd, none, labels, module, label):
         assert any("IDIOT" in x[2] or "moron" in x[2] for x in s) and all(a < b for a, b, _, _ in s)
 
 
+def test_one_insult_is_enough(larger):
+    docs, marks = larger["documents"], larger["labels"]
+    model = toxicity.fit(docs, marks)
+    texts = ["worthless", "You are worthless.", "The onen ther of the idiot in ering and then.", "This text is pathetic and nothing else is.", "The onen ther of the ering in and then."]
+    score = toxicity.scores(model, pa.array(texts, pa.large_string()))[0]
+    assert (score[:4] >= toxicity.THRESHOLD).all() and score[4] < toxicity.THRESHOLD
+    seen = toxicity.score_documents(docs, model).join(marks.where("toxic = 0"), "doc_id")
+    assert seen.agg(F.avg("predicted")).first()[0] < 0.01
+
+
+def test_rare_insults_are_learned_from_large_samples(monkeypatch):
+    """In 9 contexts among 1,000 toxic texts, as among 100."""
+    word = pa.array(["zounderkite"], pa.large_string())
+    for n in (100, 1000):
+        toxic = [f"w{k} you are a moron and m{k} n{k}" + (f" p{k} zounderkite q{k}" if k < 9 else "") for k in range(n)]
+        plain = [f"w{k} we are at home and m{k} n{k} p{k} q{k}" for k in range(5 * n // 2)]
+        sample = pa.array(toxic + plain, pa.large_string()), [1] * n + [0] * len(plain)
+        monkeypatch.setattr(toxicity, "labelled_sample", lambda *_, s=sample: s)
+        model, block = toxicity.fit(None, None), toxicity.TextBlock(word)
+        assert np.isin(block.span_hash(*block.words()[:2]), model.keys[0]).all()
+
+
 def test_language_id(larger, odd, none):
     docs = larger["documents"]
     model = langid.fit(docs)
