@@ -219,6 +219,13 @@ def test_quality_rules(larger, odd, none):
     assert qualityrules.judge(none).count() == 0 and qualityrules.judge(odd).count() == odd.count()
 
 
+def test_quality_rules_drop_junk(spark):
+    """Of labelled documents that the base rules leave: word lists and the like go, clean ones stay."""
+    docs, labels = (spark.read.parquet(f"{SMALL.replace('0.001', '0.1')}/{t}.parquet") for t in ("documents", "labels"))
+    out = qualityrules.judge(docs).where("not base_failed").join(labels, "doc_id").select("quality", "kept").toPandas()
+    assert out.kept[out.quality == 0].mean() < 0.12 and out.kept[out.quality == 1].mean() > 0.998
+
+
 def test_packing(spark, small, odd, none):
     for docs in (small["documents"], odd):
         want = sorted((r.doc_id is None, r.doc_id or 0, len((r.text or "").encode()) + 1) for r in docs.collect())
