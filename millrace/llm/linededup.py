@@ -43,7 +43,8 @@ def _key(repeat: bool) -> F.Column:
 def repeated_runs(docs: DataFrame, repeat: bool, min_chars: int = MIN_CHARS) -> DataFrame:
     """Maximal runs of lines to delete: d (the row's key), lo and hi (first and last line, from 0)."""
     w = min_chars
-    marks = F.transform(_lines(), lambda s: F.struct(F.xxhash64(s).alias("h1"), F.xxhash64(s, F.lit(7)).alias("h2"), F.least(F.length(s) + 1, F.lit(w)).alias("w")))
+    # the constant goes first: columns are hashed in a chain, and behind the line it would make h2 a function of h1
+    marks = F.transform(_lines(), lambda s: F.struct(F.xxhash64(s).alias("h1"), F.xxhash64(F.lit(7), s).alias("h2"), F.least(F.length(s) + 1, F.lit(w)).alias("w")))
     lines = docs.where(F.col("text").isNotNull()).select(_key(repeat).alias("d"), F.posexplode(marks).alias("p", "m")).select("d", "p", "m.h1", "m.h2", "m.w")
     lines = cut(lines.distinct() if repeat else lines)
     classes = lines.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("d", "p")).alias("head")).where("n > 1").select("h1", "h2", "head")

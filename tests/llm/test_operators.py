@@ -134,6 +134,28 @@ def test_line_dedup_brute_force_of_rows_with_equal_ids(spark):
     assert sorted(r.text for r in linededup.remove_repeats(df, 20).collect()) == want
 
 
+def chained_xxhash64(seed, value):
+    """Spark's hash of an int behind a column whose hash is seed."""
+    m = 2**64 - 1
+    h = (seed + 0x27D4EB2F165667C5 + 4) & m ^ (value * 0x9E3779B185EBCA87 & m)
+    h = ((h << 23 | h >> 41) & m) * 0xC2B2AE3D27D4EB4F + 0x165667B19E3779F9 & m
+    h = (h ^ h >> 33) * 0xC2B2AE3D27D4EB4F & m
+    h = (h ^ h >> 29) * 0x165667B19E3779F9 & m
+    h ^= h >> 32
+    return h - 2**64 if h >= 2**63 else h
+
+
+def test_line_hashes_are_two(spark, monkeypatch):
+    """h2 of a line isn't the hash of a constant behind h1."""
+    df = spark.createDataFrame([(1, "some line"), (2, "another")], "doc_id long, text string")
+    for h1, chained in df.select(F.xxhash64("text"), F.xxhash64("text", F.lit(7))).collect():
+        assert chained_xxhash64(h1, 7) == chained
+    seen = []
+    monkeypatch.setattr(linededup, "cut", lambda d, own=linededup.cut: seen.append(d) or own(d))
+    linededup.repeated_runs(df, False)
+    assert not [r for r in seen[0].collect() if chained_xxhash64(r.h1, 7) == r.h2]
+
+
 def test_near_dedup_odd(odd, none):
     rows = neardup.link(odd, 4).collect()
     assert len(rows) == odd.count()
