@@ -1,7 +1,8 @@
 """Variable-capacity best-fit packing of documents into training sequences.
 
-A document's length is its number of byte-level tokens and one end token; one longer than the largest permitted length is cut
-into full sequences and a rest. Pieces are dealt by hash into shards of bounded size; each is packed by itself: longest first,
+A document's length is its number of UTF-8 bytes and one for its end: no tokenizer is run, a unit is a byte and not a BPE token, and a
+sequence holds that many bytes. One longer than the largest permitted length is cut
+into full sequences and a rest, by bytes, maybe inside a character. Pieces are dealt by hash into shards of bounded size; each is packed by itself: longest first,
 into the open sequence with the least room that suffices. Where none has room, the size is opened whose cost for each token it can
 expect to hold is least. This is done once for each largest size allowed, the cheapest packing is taken, and at last every
 sequence is downsized to the least permitted length that holds its contents.
