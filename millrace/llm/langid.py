@@ -3,7 +3,7 @@ per language by cosine, with distance-based rejection.
 
 Cases: null texts and texts without a letter are ``und`` with score 0 and are rejected; ties go to the first language in
 alphabetical order; repeated rows get the same answer; without training rows all texts are ``und``, none is rejected for
-that alone; an empty table gives an empty table; extra columns pass by."""
+that alone; rows that repeat a doc_id count once in training, with one of their texts; an empty table gives an empty table; extra columns pass by."""
 
 from __future__ import annotations
 
@@ -11,16 +11,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.runtime import filter_rows, held_out, map_blocks
+from millrace.llm.runtime import cut, filter_rows, held_out, map_blocks, ranges
 from millrace.llm.textblock import TextBlock
+from millrace.llm.training import one_text_an_id, train
 
 DIMS = 4096
-#: Bounds of the training sample and model: languages (the most frequent), texts a language and in all, characters a text, centroids a language.
-MAX_LANGS, PER_LANG, MAX_TEXTS, MAX_CHARS, CENTROIDS = 200, 600, 6000, 20_000, 3
+#: Bounds of the training sample and model: languages (more are an error), texts a language and in all, characters a text, centroids a language.
+MAX_LANGS, PER_LANG, MAX_TEXTS, MAX_CHARS, CENTROIDS = 1000, 600, 6000, 20_000, 3
+#: Texts that are counted at once: a dense row each.
+BLOCK_TEXTS = 512
 #: A text of n distinct n-grams is rejected if it's farther than the language's limit + WIDEN / sqrt(n), so that short and repetitive
 #: texts get more room. The limit is the median of the training texts' distances less their room, and SPREADS median absolute deviations.
 WIDEN, SPREADS = 4.0, 24.0
@@ -85,23 +88,33 @@ def _robust_limit(far: np.ndarray) -> float:
     return float(middle + SPREADS * np.median(np.abs(far - middle)))
 
 
-def fit(docs: DataFrame, per_lang: int = PER_LANG, max_chars: int = MAX_CHARS, centroids: int = CENTROIDS) -> Model | None:
-    """Train on a bounded sample of texts outside the held-out fourth; the least hashes of doc_id of each language."""
+def sample(docs: DataFrame, per_lang: int, max_chars: int, max_langs: int) -> DataFrame:
+    """lang, doc_id, text: of each language at most ``per_lang`` texts, those of the least hashes of doc_id outside the held-out fourth."""
     known = docs.where(~held_out()).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & F.length("text").between(1, max_chars))
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    if not sizes:
-        return None
-    per_lang = max(1, min(per_lang, MAX_TEXTS // len(sizes)))
+    sizes = cut(known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids")))
+    n_langs = sizes.count()
+    if n_langs > max_langs:
+        raise ValueError(f"{n_langs} languages to learn, but the model is bounded by max_langs={max_langs}")
+    per_lang = max(1, min(per_lang, MAX_TEXTS // max(1, n_langs)))
     u = (F.xxhash64("doc_id") / F.lit(2.0**64)) + 0.5
-    rate = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, 1.3 * per_lang / r["count"] + 20.0 / r["count"]))])
-    rows = known.where(u <= rate[F.col("lang")]).select("lang", F.col("text").alias("t"), u.alias("u"), "doc_id").collect()
-    rows.sort(key=lambda r: (r["lang"], r["u"], r["doc_id"], r["t"]))
-    of: dict[str, list[str]] = {}
-    for r in rows:
-        if len(of.setdefault(r["lang"], [])) < per_lang:
-            of[r["lang"]].append(r["t"])
-    langs = sorted(of)
-    c = {g: counts(TextBlock(pa.array(of[g], pa.large_string()), lower=True)).astype(np.float32) for g in langs}
+    rate = sizes.select("lang", (F.lit(1.5 * per_lang + 20.0) / F.col("ids")).alias("rate"))
+    # a first cut by hash, so that few texts are shuffled; an id's rows become one, then each language's least hashes are taken
+    some = known.select("lang", "doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(rate), "lang").where(u <= F.col("rate"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    return one_text_an_id(some, "lang", "doc_id").withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_lang).drop("r")
+
+
+def fit_texts(text: pa.Array, lang: list[str], centroids: int = CENTROIDS) -> Model:
+    """Train on texts and their languages, those of a language one behind the other."""
+    langs = sorted(set(lang))
+    c = {}
+    at = {g: [] for g in langs}
+    for lo, hi in ranges(text, rows=BLOCK_TEXTS):
+        part = counts(TextBlock(text.slice(lo, hi - lo), lower=True)).astype(np.float32)
+        for g in set(lang[lo:hi]):
+            at[g].append(part[[x == g for x in lang[lo:hi]]])
+    for g in langs:
+        c[g] = np.concatenate(at.pop(g))
     n = sum(map(len, c.values()))
     idf = (np.log((1.0 + n) / (1.0 + sum((x > 0).sum(0) for x in c.values()))) + 1.0).astype(np.float32)
     cents, lang_of, limit = [], [], []
@@ -116,6 +129,12 @@ def fit(docs: DataFrame, per_lang: int = PER_LANG, max_chars: int = MAX_CHARS, c
     return Model(langs, idf, np.concatenate(cents).astype(np.float32), np.array(lang_of), np.array(limit))
 
 
+def fit(docs: DataFrame, per_lang: int = PER_LANG, max_chars: int = MAX_CHARS, centroids: int = CENTROIDS, max_langs: int = MAX_LANGS) -> Model | None:
+    """Train on a bounded sample, on an executor; None without training rows. More than ``max_langs`` languages are an error, none is dropped."""
+    rows = sample(docs, per_lang, max_chars, max_langs)
+    return train(rows, ["key", F.xxhash64("doc_id"), "doc_id"], "lang", lambda text, lang: fit_texts(text, lang, centroids))
+
+
 def predict(model: Model | None, text: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and whether the text is rejected."""
     block = TextBlock(text, lower=True)
@@ -137,10 +156,10 @@ def predict(model: Model | None, text: pa.Array) -> tuple[list[str], np.ndarray,
 
 def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())]
-    made = map_blocks(docs, lambda text: list(predict(model, text)), ["doc_id"], fields)
+    made = map_blocks(docs, lambda text: list(predict(model, text)), ["doc_id"], fields, rows=BLOCK_TEXTS)
     return made.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows, with all their columns, that aren't rejected."""
-    return filter_rows(docs, lambda text: ~predict(model, text)[2])
+    return filter_rows(docs, lambda text: ~predict(model, text)[2], rows=BLOCK_TEXTS)

@@ -2,7 +2,7 @@
 its lines' forward-backward marginals.
 
 Cases: null and empty texts, and texts of blank lines, have no evidence and get the score ``EMPTY_SCORE``; ties and repeated
-rows score alike because a score depends on the text only; extra columns pass by; an empty table gives an empty table;
+rows score alike because a score depends on the text only; rows that repeat a doc_id count once in training, with one of their texts; extra columns pass by; an empty table gives an empty table;
 without labels of both kinds every text scores 0.5."""
 
 from __future__ import annotations
@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.chain import ChainCRF
-from millrace.llm.runtime import filter_rows, held_out, map_blocks
+from millrace.llm.runtime import filter_rows, held_out, map_blocks, ranges
 from millrace.llm.textblock import TextBlock
-from millrace.llm.training import labelled_sample
+from millrace.llm.training import train_labelled
 
 THRESHOLD = 0.7
 EMPTY_SCORE = 0.0
-#: Bounds of the training sample: texts for each label and characters in a text.
-PER_CLASS, MAX_CHARS = 1500, 20_000
+#: Bounds of the training sample: texts for each label, characters in a text, lines in all.
+PER_CLASS, MAX_CHARS, MAX_LINES = 1500, 20_000, 400_000
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[np.frombuffer(b"#*$%&|<>{}[]\\^~=@_+", np.uint8)] = True
 
@@ -77,13 +77,25 @@ def line_features(block: TextBlock) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return np.concatenate((own, before, after), axis=1), first, ink, ld
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> ChainCRF | None:
-    """Train on a bounded sample of labelled texts; each line takes its text's label. None if a label is missing."""
-    text, y = labelled_sample(docs, labels, "quality", per_class, max_chars)
+def fit_texts(text: pa.Array, y: list) -> ChainCRF | None:
+    """Train on texts in the order given, block by block, up to MAX_LINES lines; each line takes its text's label. None if a label is missing."""
     if len(set(y)) < 2:
         return None
-    x, first, _, ld = line_features(TextBlock(text))
-    return ChainCRF().fit(x, np.array(y)[ld], first)
+    made, n = [], 0
+    for lo, hi in ranges(text):
+        x, first, _, ld = line_features(TextBlock(text.slice(lo, hi - lo)))
+        made.append((x.astype(np.float32), first, np.array(y[lo:hi], bool)[ld]))
+        n += len(first)
+        if n >= MAX_LINES:
+            break
+    x, first, good = (np.concatenate(part) for part in zip(*made))
+    last = len(first) if n <= MAX_LINES else int(np.flatnonzero(first[: MAX_LINES + 1])[-1]) or MAX_LINES  # whole texts, if more than one fits
+    return ChainCRF().fit(x[:last], good[:last], first[:last]) if good[:last].any() and not good[:last].all() else None
+
+
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> ChainCRF | None:
+    """Train on a bounded sample of labelled texts, on an executor."""
+    return train_labelled(docs, labels, "quality", per_class, max_chars, fit_texts)
 
 
 def scores(model: ChainCRF | None, text: pa.Array) -> np.ndarray:

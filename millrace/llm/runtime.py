@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from millrace.session import ship_package
 
-#: Bytes of text handed to a numpy kernel at once. A single longer text is a block of its own.
-BLOCK_BYTES = 1 << 20
+#: Bytes and number of texts handed to a numpy kernel at once. A single longer text is a block of its own.
+BLOCK_BYTES, BLOCK_ROWS = 1 << 20, 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The folder that all executors share: the cluster's spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-ckpt-"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="millrace-ckpt-"))
     return sc.getCheckpointDir()
 
 
@@ -61,16 +64,21 @@ def text_of(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     return column if pa.types.is_large_string(column.type) else column.cast(pa.large_string())
 
 
-def blocks(batch: pa.RecordBatch, name: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of about ``limit`` bytes of text."""
+def ranges(text: pa.Array, limit: int = BLOCK_BYTES, rows: int = BLOCK_ROWS) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``rows`` texts and about ``limit`` bytes."""
     import numpy as np
 
-    off = offsets(text_of(batch, name))
-    lo, n = 0, len(batch)
+    off = offsets(text)
+    lo, n = 0, len(text)
     while lo < n:
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, "right")) - 1)
-        yield lo, min(hi, n)
-        lo = min(hi, n)
+        hi = min(hi, n, lo + rows)
+        yield lo, hi
+        lo = hi
+
+
+def blocks(batch: pa.RecordBatch, name: str = "text", limit: int = BLOCK_BYTES, rows: int = BLOCK_ROWS) -> Iterator[tuple[int, int]]:
+    return ranges(text_of(batch, name), limit, rows)
 
 
 def offsets(text: pa.Array):
@@ -81,7 +89,7 @@ def offsets(text: pa.Array):
     return np.frombuffer(text.buffers()[1], np.int64)[text.offset : text.offset + len(text) + 1]
 
 
-def map_blocks(df: DataFrame, fn: Callable, keep: list[str], out: list[T.StructField], text: str = "text", limit: int = BLOCK_BYTES) -> DataFrame:
+def map_blocks(df: DataFrame, fn: Callable, keep: list[str], out: list[T.StructField], text: str = "text", limit: int = BLOCK_BYTES, rows: int = BLOCK_ROWS) -> DataFrame:
     """Run ``fn(text array) -> list of columns`` over blocks of whole texts; ``keep`` columns pass through unchanged."""
     ship_package(df.sparkSession)
     source = df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text).cast("string").alias("text"))
@@ -91,7 +99,7 @@ def map_blocks(df: DataFrame, fn: Callable, keep: list[str], out: list[T.StructF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in blocks(batch, limit=limit):
+            for lo, hi in blocks(batch, limit=limit, rows=rows):
                 part = batch.slice(lo, hi - lo)
                 made = fn(text_of(part))
                 yield pa.RecordBatch.from_arrays([part.column(i) for i in range(n_keep)] + [pa.array(x) if not isinstance(x, pa.Array) else x for x in made], names)
@@ -99,7 +107,7 @@ def map_blocks(df: DataFrame, fn: Callable, keep: list[str], out: list[T.StructF
     return source.mapInArrow(run, schema)
 
 
-def filter_rows(df: DataFrame, keep_mask: Callable, text: str = "text") -> DataFrame:
+def filter_rows(df: DataFrame, keep_mask: Callable, text: str = "text", rows: int = BLOCK_ROWS) -> DataFrame:
     """Keep whole rows, every column untouched, for which ``keep_mask(text array)`` is true."""
     ship_package(df.sparkSession)
     at = df.columns.index(text)
@@ -107,7 +115,7 @@ def filter_rows(df: DataFrame, keep_mask: Callable, text: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in blocks(batch, names[at]):
+            for lo, hi in blocks(batch, names[at], rows=rows):
                 part = batch.slice(lo, hi - lo)
                 yield part.filter(pa.array(keep_mask(text_of(part, names[at]))))
 

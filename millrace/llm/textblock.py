@@ -58,6 +58,10 @@ class TextBlock:
         self.buf = raw
         self._prefix = None
 
+    def forget(self) -> None:
+        """Let go of the prefix hashes, which take eight bytes for each byte of text."""
+        self._prefix = None
+
     def per_doc(self, flags: np.ndarray) -> np.ndarray:
         """Sum of a per-byte array over each text."""
         total = np.zeros(len(flags) + 1, np.int64)

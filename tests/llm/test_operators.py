@@ -10,7 +10,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, linededup, neardup, packing, pieces, qualitycrf, qualityrules, queries, tokencounts, toxicity, vptree
+from millrace.llm import langid, linededup, neardup, packing, pieces, qualitycrf, qualityrules, queries, tokencounts, toxicity, training, vptree
 from millrace.llm.components import components
 
 ODD = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, d string, component_id string, capacity string, held_out string, `k0` string"
@@ -296,15 +296,78 @@ def test_one_insult_is_enough(larger):
     assert seen.agg(F.avg("predicted")).first()[0] < 0.01
 
 
-def test_rare_insults_are_learned_from_large_samples(monkeypatch):
+def test_all_spans_are_found(larger):
+    model = toxicity.fit(larger["documents"], larger["labels"])
+    text = "Ö you are an idiot, moron and that was all, but then again: worthless."
+    found = toxicity.spans(model, text)
+    assert [x[2] for x in found] == ["idiot, moron", "worthless"] and all(text[a:b] == w and p >= 0.5 for a, b, w, p in found)
+
+
+def test_noisy_or_is_the_plain_product(small):
+    """The score against a product over tokens, and its calibration against a scan of the likelihood."""
+    model = toxicity.fit(small["documents"], small["labels"])
+    texts = [r.text for r in small["documents"].where("text is not null").limit(20).collect()]
+    got = toxicity.scores(model, pa.array(texts, pa.large_string()))[0]
+    for t, s in zip(texts, got):
+        none = 1.0
+        for p in toxicity.token_marginals(model, toxicity.TextBlock(pa.array([t], pa.large_string()), lower=True))[3]:
+            p = min(max(p, 1e-12), 1 - 1e-12)
+            none *= 1 - 1 / (1 + np.exp(-(model.slope * np.log(p / (1 - p)) + model.shift)))
+        assert s == pytest.approx(1 - none, abs=1e-9)
+    rng = np.random.default_rng(3)
+    of = np.repeat(np.arange(3000), 4)
+    odds = rng.normal(-4, 4, len(of))
+    none = np.exp(-np.bincount(of, np.logaddexp(0, 1.5 * odds - 2.0), 3000))
+    slope, shift = toxicity.noisy_or(odds, of, np.ones(len(of)), rng.random(3000) > none)
+    assert slope == pytest.approx(1.5, abs=0.4) and shift == pytest.approx(-2.0, abs=0.6)
+
+
+@pytest.mark.parametrize("module", [qualitycrf, toxicity])
+def test_training_sample_is_bounded(spark, module):
+    """Rows that repeat one id are one text of the sample; the least hashes of each label are taken."""
+    label = "quality" if module is qualitycrf else "toxic"
+    docs = spark.createDataFrame([(i % 5 if i < 400 else i, f"text {i}") for i in range(600)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2, i % 2) for i in range(600)], "doc_id long, quality int, toxic int")
+    rows = training.labelled_sample(docs, marks, label, 40, 100).toPandas()
+    assert rows.doc_id.is_unique and rows.groupby("y").size().between(10, 40).all() and not any(zlib.crc32(str(i).encode()) % 4 == 2 for i in rows.doc_id)
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    rows = [(1, f"text {i}", "en") for i in range(500)] + [(i, f"texte {i}", "fr") for i in range(1000, 1400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.sample(docs, 30, 100, 10).toPandas()
+    assert (got.lang == "en").sum() == 1 and (got.lang == "fr").sum() == 30
+    with pytest.raises(ValueError, match="max_langs"):
+        langid.sample(docs, 30, 100, 1)
+
+
+def test_language_against_plain_arithmetic(spark):
+    """Centroids, IDF and cosine of a tiny model, by sums over dictionaries."""
+    texts = ["aab ba", "ab aab", "ba ab", "xyz zx", "zzx xy", "yx zz"]
+    lang = ["p"] * 3 + ["q"] * 3
+    model = langid.fit_texts(pa.array(texts, pa.large_string()), lang, centroids=1)
+    c = np.array([langid.counts(langid.TextBlock(pa.array([t], pa.large_string())))[0] for t in texts])
+    for t, row in zip(texts, c):
+        assert row.sum() == len(t) + max(0, len(t) - 1) + max(0, len(t) - 2)
+    idf = [np.log(7.0 / (1.0 + sum(row[j] > 0 for row in c))) + 1.0 for j in range(langid.DIMS)]
+    unit = lambda v: v / np.sqrt(sum(x * x for x in v))
+    vec = [unit(np.array([np.log(1.0 + row[j]) * idf[j] for j in range(langid.DIMS)])) for row in c]
+    cents = [unit(sum(vec[:3])), unit(sum(vec[3:]))]
+    assert np.allclose(model.centroids, cents, atol=1e-5)
+    pred, score, _ = langid.predict(model, pa.array(texts, pa.large_string()))
+    for k, v in enumerate(vec):
+        near = [float(v @ x) for x in cents]
+        assert pred[k] == "pq"[int(np.argmax(near))]
+        assert score[k] == pytest.approx(1 / sum(np.exp((x - max(near)) / langid.TEMPERATURE) for x in near), abs=1e-3)
+
+
+def test_rare_insults_are_learned_from_large_samples():
     """In 9 contexts among 1,000 toxic texts, as among 100."""
     word = pa.array(["zounderkite"], pa.large_string())
     for n in (100, 1000):
         toxic = [f"w{k} you are a moron and m{k} n{k}" + (f" p{k} zounderkite q{k}" if k < 9 else "") for k in range(n)]
         plain = [f"w{k} we are at home and m{k} n{k} p{k} q{k}" for k in range(5 * n // 2)]
-        sample = pa.array(toxic + plain, pa.large_string()), [1] * n + [0] * len(plain)
-        monkeypatch.setattr(toxicity, "labelled_sample", lambda *_, s=sample: s)
-        model, block = toxicity.fit(None, None), toxicity.TextBlock(word)
+        model, block = toxicity.fit_texts(pa.array(toxic + plain, pa.large_string()), [1] * n + [0] * len(plain)), toxicity.TextBlock(word)
         assert np.isin(block.span_hash(*block.words()[:2]), model.keys[0]).all()
 
 
