@@ -64,7 +64,7 @@ def repeated_runs(docs: DataFrame, repeat: bool, min_chars: int = MIN_CHARS) ->
     spans = cut(spans)
     single = spans.where("m = 1").join(alike.where("d <> hd or p <> hp").select("d", "p"), ["d", "p"], "left_semi")
     longest = spans.agg(F.max("m")).first()[0] or 1
-    copies = single.select("d", F.col("p").alias("lo"), F.col("p").alias("hi"))
+    copies = cut(single.select("d", F.col("p").alias("lo"), F.col("p").alias("hi")))
     ranks, step, level = alike.select("d", "i", "p", "hd", "hp"), 1, []
     while 2 * step <= longest:
         ranks = cut(_double(ranks, step))
@@ -78,7 +78,8 @@ def repeated_runs(docs: DataFrame, repeat: bool, min_chars: int = MIN_CHARS) ->
         by = ["m", "ad", "ap", "bd", "bp"]
         heads = own.groupBy(*by).agg(F.count("*").alias("n"), F.min(F.struct("d", "p")).alias("head")).where("n > 1").drop("n")
         later = own.join(spread(heads, "head"), by).where("d <> head.d or p <> head.p")
-        copies = copies.union(later.select("d", F.col("p").alias("lo"), (F.col("p") + F.col("m") - 1).alias("hi")))
+        # cut here too: a plan of all levels at once would be hundreds of stages that the driver holds together
+        copies = copies.union(cut(later.select("d", F.col("p").alias("lo"), (F.col("p") + F.col("m") - 1).alias("hi"))))
     # overlapping and touching runs together are maximal runs
     order = Window.partitionBy("d").orderBy("lo", "hi")
     reach = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
