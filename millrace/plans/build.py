@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.functions.dialect import json_fields
 from millrace.operators import gold, silver
 from millrace.operators.silver import BuildContext
-from millrace.sources import bronze
+from millrace.sources import bronze, landing
+from millrace.streaming import alerts
 
 KEEP_BUILDS = 3
 #: Builders that read a table of the same build, and which.
@@ -84,6 +85,17 @@ def prune(spark: SparkSession, database: str, table: str, keep: int = KEEP_BUILD
     return old
 
 
+def owner_snapshot(spark: SparkSession, state_root: str, bronze_root: str) -> Callable[[str], None]:
+    """A ``before`` for build: exports the owner cache and the worklist of the alert stream to Bronze, as of the build's date; a failure aborts the build."""
+
+    def export(asof: str) -> None:
+        for state, schema, feed in (("owners", alerts.OWNERS, "lead_owner"), ("awaiting", alerts.AWAITING, "awaiting_owner")):
+            rows = alerts.StateTable(spark, f"{state_root}/{state}", schema).read()
+            bronze.land(landing.export_snapshot(rows, asof), bronze_root, feed)
+
+    return export
+
+
 def build(
     spark: SparkSession, bronze_root: str, warehouse_root: str, asof: str, build_id: str | None = None, before: Callable[[str], None] | None = None, keep: int = KEEP_BUILDS, layers: dict[str, dict[str, Callable]] | None = None,
 ) -> BuildSummary:

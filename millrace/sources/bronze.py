@@ -43,17 +43,33 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     t = CATALOG[name]
     path = f"{root}/{t.prefix}"
     fields = [T.StructField("value", T.StringType())] + ([T.StructField(t.partition, T.StringType())] if t.partition else [])
-    if not exists(spark, path):
+    if not (any(c.startswith(f"{t.partition}=") for c in children(spark, path)) if t.partition else exists(spark, path)):
         empty = spark.createDataFrame([], T.StructType([*fields, T.StructField("source_path", T.StringType())]))
         return empty.withColumnRenamed("value", "raw")
     df = spark.read.schema(T.StructType(fields)).text(path)
     return df.select(F.col("value").alias("raw"), *([t.partition] if t.partition else []), F.col("_metadata.file_path").alias("source_path")).where(F.length("raw") > 0)
 
 
+def _path(spark: SparkSession, path: str):
+    """A path and the file system it is on, as Spark itself sees them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists, through Spark's own file systems."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+    at, system = _path(spark, path)
+    return system.exists(at)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if there is no such folder."""
+    at, system = _path(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(at)] if system.exists(at) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at, system = _path(spark, path)
+    system.delete(at, True)
 
 
 def read_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -69,7 +85,8 @@ def stream(spark: SparkSession, root: str, name: str, per_trigger: int = 1000) -
 
 
 def land(rows: DataFrame, root: str, name: str, body: str | Column = "raw") -> None:
-    """Write lines under the feed's prefix, replacing only the partitions that are present in ``rows``: a re-pull of a day is idempotent."""
+    """Write a feed's snapshot: lines under its prefix, replacing the partitions that are present in ``rows`` as a whole, so that a re-pull of a day is
+    idempotent. Single events and objects with names of their own are written by landing.land_events and land_pulls."""
     t = CATALOG[name]
     line = (F.col(body) if isinstance(body, str) else body).alias("value")
     writer = rows.select(line, *([t.partition] if t.partition else [])).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

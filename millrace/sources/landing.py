@@ -3,22 +3,18 @@ transformations whose keys are pure functions of the payload."""
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
-from datetime import date, datetime, timedelta, timezone
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from millrace.functions.dialect import asc, desc, json_scalar, last_segment, latest_by
+from millrace.functions.dialect import desc, json_scalar, last_segment, latest_by, ratio
+from millrace.sources import keyed
 
 #: Event type -> feed, file stem, timestamps that date it, in order.
 ROUTES = {
     "invitee.created": ("calendly_booking", "calendly_event", ("$.payload.created_at",)),
     "invitee.canceled": ("calendly_cancellation", "calendly_cancel", ("$.payload.cancellation.created_at", "$.payload.updated_at", "$.payload.created_at")),
 }
-SPEND_FILE = re.compile(r"^spend_data_(\d{4}-\d{2}-\d{2})\.json$")
+SPEND_FILE = r"^spend_data_(\d{4}-\d{2}-\d{2})\.json$"
 LOOKBACK_DAYS = 7
 OWNER_FIELDS = ("lead_owner", "lead_email", "funnel", "display_name", "status_label", "date_created")
 
@@ -74,16 +70,16 @@ def once(landed: DataFrame, order: str | None = None) -> DataFrame:
     return latest_by(landed.where("key is not null"), ["key"], [desc(order) if order else desc("raw"), desc("raw")])
 
 
-def advertised(index: dict | list) -> dict[str, str]:
-    """as-of date -> file name from a published index of either shape; raises for another shape, or if nothing is recognised."""
-    files = index.get("files") if isinstance(index, dict) else index
-    if not isinstance(files, list):
-        raise ValueError(f"unknown shape of file index: {type(index).__name__}")
-    names = [(f if isinstance(f, str) else (f or {}).get("file", "")).rsplit("/", 1)[-1] for f in files]
-    out = {m[1]: n for n in names if (m := SPEND_FILE.match(n))}
-    if not out:
-        raise ValueError("the file index names no spend file")
-    return out
+def advertised(index: DataFrame, content: str = "content") -> DataFrame:
+    """asof and filename of every spend file that a published index names: a list, or an object with a list under "files", of names or of
+    objects with a "file". Fails when run on another shape, or on an index that names none: silence would pass for "nothing new"."""
+    listed = F.coalesce(F.get_json_object(content, "$.files"), F.col(content))
+    entries = F.when(listed.rlike(r"^\s*\["), F.from_json(listed, "array<string>"))
+    path = lambda x: F.when(x.startswith("{"), F.get_json_object(x, "$.file")).otherwise(x)
+    names = F.filter(F.transform(entries, lambda x: F.element_at(F.split(path(x), "/"), -1)), lambda n: n.rlike(SPEND_FILE))
+    fault = F.when(entries.isNull(), "unknown shape of file index").when(F.size(names) == 0, "the file index names no spend file")
+    checked = F.when(fault.isNotNull(), F.raise_error(fault)).otherwise(names)
+    return index.select(F.explode(checked).alias("filename")).select(F.regexp_extract("filename", SPEND_FILE, 1).alias("asof"), "filename").distinct()
 
 
 def read_files(spark: SparkSession, path: str, pattern: str = "spend_data_*.json") -> DataFrame:
@@ -134,25 +130,64 @@ def spend_pull(files: DataFrame, manifest: DataFrame, pulled_at: int) -> tuple[D
     return demux(todo), record(manifest, entries)
 
 
-def resolve_window(start: str | None = None, end: str | None = None, today: date | None = None, lookback: int = LOOKBACK_DAYS) -> tuple[str, str]:
-    """The inclusive window to pull: as given, or the last ``lookback`` days."""
-    if start and end:
-        return start, end
-    last = today or datetime.now(timezone.utc).date()
-    return str(last - timedelta(days=lookback - 1)), str(last)
+def window(spark: SparkSession, start: str | None = None, end: str | None = None, today: str | None = None, lookback: int = LOOKBACK_DAYS) -> DataFrame:
+    """dt: every day of the inclusive window to pull, as given or the last ``lookback`` days. Fails when run on a window that ends before it starts."""
+    given = start is not None and end is not None
+    last = F.lit(end if given else today).cast("date") if given or today else F.current_date()
+    first = F.lit(start).cast("date") if given else F.date_sub(last, lookback - 1)
+    bounds = spark.range(1).select(first.alias("first"), last.alias("last"))
+    days = F.when(F.col("last") < F.col("first"), F.raise_error(F.concat(F.lit("the window ends before its start "), F.col("first")))).otherwise(F.sequence("first", "last"))
+    return bounds.select(F.explode(days).alias("dt")).select(F.col("dt").cast("string").alias("dt"))
+
+
+def pulls(days: DataFrame, media: DataFrame, kind: str = "events") -> DataFrame:
+    """One row for each medium (hashed_id) and day (dt) to ask for, with the key that the manifest knows it by."""
+    span = days.agg(F.array_sort(F.collect_set("dt")).alias("days"))  # one row: a window is a few days
+    both = media.select("hashed_id").distinct().crossJoin(span).select("hashed_id", F.explode("days").alias("dt"))
+    return both.select("hashed_id", "dt", F.concat_ws("#", F.lit(kind), "hashed_id", "dt").alias("pull_key"))
+
+
+#: Where the answers of each kind of pull go.
+PULL_PATHS = {"events": ("wistia/visitor_events", "dt"), "stats": ("wistia/media_stats", "dt"), "media": ("wistia/media", "asof")}
+
+
+def pull_objects(asked: DataFrame, answers: DataFrame, kind: str) -> DataFrame:
+    """key, body, row_count and content_hash: one object for each medium and day asked for, lines sorted, so that an unchanged re-pull is the same bytes.
+
+    A day without rows is an empty object, for it shows that we asked. A window's rows are bounded by what the source lets a window have."""
+    lines = answers.where("raw is not null").groupBy("hashed_id", "dt").agg(F.array_sort(F.collect_list(canonical("raw"))).alias("lines"))
+    prefix, part = PULL_PATHS[kind]
+    full = asked.join(lines, ["hashed_id", "dt"], "left")
+    body = F.when(F.col("lines").isNull(), "").otherwise(F.concat(F.array_join("lines", "\n"), F.lit("\n")))
+    key = F.concat(F.lit(f"{prefix}/{part}="), "dt", F.lit("/"), "hashed_id", F.lit(".json"))
+    return full.select("hashed_id", "dt", "pull_key", key.alias("key"), body.alias("body"), F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("row_count"), F.sha2(body, 256).alias("content_hash"))
+
+
+def identification(events: DataFrame, email: str = "email") -> DataFrame:
+    """How many pulled events carry an e-mail address, and their share; the share of no events is null."""
+    known = F.count_if(F.trim(F.coalesce(F.col(email), F.lit(""))) != "")
+    return events.agg(F.count("*").alias("events"), known.alias("identified")).withColumn("identification_rate", ratio("identified", "events"))
+
+
+def object_key(c: str | Column) -> Column:
+    """A storage notice's object key, percent-decoded; a plus is a space. A key that can't be decoded is null."""
+    return F.try_url_decode(F.col(c) if isinstance(c, str) else c)
+
+
+def one_line(raw: str | Column) -> Column:
+    """A body as one line: as it came, or written anew if it holds line breaks."""
+    c = F.col(raw) if isinstance(raw, str) else raw
+    return F.when(c.rlike(r"[\r\n]"), F.to_json(F.parse_json(c))).otherwise(c)
 
 
-def days(start: str, end: str) -> list[str]:
-    a, b = date.fromisoformat(start), date.fromisoformat(end)
-    if b < a:
-        raise ValueError(f"the window ends on {end}, before its start {start}")
-    return [str(a + timedelta(days=n)) for n in range((b - a).days + 1)]
+def land_events(parsed: DataFrame, root: str, order: str | None = None) -> None:
+    """Write webhook events (key, raw), one object a key: a redelivery replaces itself, and every other event of the day stays."""
+    keyed.write(once(parsed, order).select("key", one_line("raw").alias("body")), root)
 
 
-def pulls(spark: SparkSession, media: list[str], start: str, end: str) -> DataFrame:
-    """One row for each medium and day to ask for; an empty answer is landed too, for it shows that we asked."""
-    window = spark.createDataFrame([(d,) for d in days(start, end)], "dt string")
-    return window.crossJoin(spark.createDataFrame([(m,) for m in media], "hashed_id string")).select("hashed_id", "dt", F.concat_ws("#", F.lit("events"), "hashed_id", "dt").alias("pull_key"))
+def land_pulls(objects: DataFrame, root: str) -> None:
+    """Write the objects of a pull (key, body) under names that Silver reads the medium from."""
+    keyed.write(objects, root)
 
 
 def canonical(raw: str | Column) -> Column:

@@ -1,8 +1,9 @@
 """Real-time branch: events are claimed once, enriched with their owner after a delay, announced, and put on a worklist if no owner is known.
 
 The rules are pure DataFrame functions; ``run`` puts them into a Structured Streaming query that keeps its state in keyed
-Parquet tables, replaced version by version, so a batch that is run again changes nothing twice. A notice is sent before it is recorded:
-duplicates are preferred to losses."""
+Parquet tables, replaced version by version. What calls out (owner lookups, notices) is evaluated once and its answers are
+written before anything reads them. A notice is sent before it is recorded: duplicates are preferred to losses. Events whose notice
+isn't known to be sent stay in the table ``open`` and are tried again by later batches and by ``retry``, without being delivered anew."""
 
 from __future__ import annotations
 
@@ -17,6 +18,8 @@ from millrace.sources import bronze, landing
 
 LEASE_SECONDS, DELAY_SECONDS = 120, 600
 MAX_RETRIES, MAX_ROWS_PER_SWEEP, LISTED, MAX_RECEIVES = 24, 500, 20, 5
+#: For how long a sent event is remembered, in seconds, and how many versions of a state table stay.
+REMEMBER_SECONDS, KEEP_VERSIONS = 90 * 86_400, 3
 #: The texts of notices and escalations.
 TITLE, GIVEN_UP_TITLE = "*New Lead Alert*", "*Owner reconciliation exhausted*"
 LABELS = ("Name", "Lead ID", "Created Date", "Label", "Email", "Lead Owner", "Funnel")
@@ -25,6 +28,10 @@ LEDGER = "event_id string, status string, claimed_at long, sent_at long"
 OWNERS = "lead_id string, lead_owner string, lead_email string, funnel string, display_name string, status_label string, date_created string, cached_at long"
 AWAITING = "lead_id string, event_id string, first_seen_at long, retry_count int, status string, last_attempt_at long"
 DEAD = "event_id string, attempts int, error string"
+OPEN = "event_id string, raw string"
+ANSWERS = "lead_id string, raw string, failed boolean"
+RESULTS = "event_id string, ok boolean, error string"
+SWEPT = "lead_id string, retry_count int, next_status string, next_count int, attempted_at long"
 
 
 def claim(deliveries: DataFrame, ledger: DataFrame, lease: int = LEASE_SECONDS) -> DataFrame:
@@ -49,13 +56,18 @@ def add_missing(worklist: DataFrame, misses: DataFrame, now: int) -> DataFrame:
     return worklist.unionByName(new.select("lead_id", "event_id", F.lit(now).cast("long").alias("first_seen_at"), F.lit(0).alias("retry_count"), F.lit("AWAITING").alias("status"), F.lit(None).cast("long").alias("last_attempt_at")))
 
 
+def longest_waiting(worklist: DataFrame, limit: int) -> DataFrame:
+    """Those never tried first, then those whose last attempt is longest ago, so that everyone's turn comes."""
+    return worklist.where("status = 'AWAITING'").orderBy(F.col("last_attempt_at").asc_nulls_first(), "lead_id").limit(limit)
+
+
 def sweep(worklist: DataFrame, owners: DataFrame, now: int, failed: DataFrame | None = None, max_retries: int = MAX_RETRIES, limit: int | None = None) -> DataFrame:
     """Waiting rows with next_status (PROMOTED, AWAITING or EXHAUSTED) and next_count. Leads in ``failed``, whose lookup broke, use up no retry.
 
     The count before is kept beside the next one, so that whoever stores it can tell that nobody else has."""
     rows = worklist.where("status = 'AWAITING'")
     if limit is not None:
-        rows = rows.orderBy("lead_id").limit(limit)
+        rows = longest_waiting(rows, limit)
     if failed is not None:
         rows = rows.join(failed.select("lead_id"), "lead_id", "left_anti")
     hit = F.col("__owner").isNotNull()
@@ -105,92 +117,124 @@ def notices(claimed: DataFrame, owned: DataFrame) -> DataFrame:
 
 
 class StateTable:
-    """A small keyed table as Parquet versions, so that a micro-batch reads one version and writes the next; re-running a batch rewrites its own version."""
+    """A small keyed table as Parquet versions: who writes makes the next version from what it read, and the newest whole one counts."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path, schema
 
     def _versions(self) -> list[int]:
-        if not bronze.exists(self.spark, self.path):
-            return []
-        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        done = [s.getPath() for s in fs.listStatus(root) if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-        return sorted(int(p.getName()[1:]) for p in done)
-
-    def read(self, before: int | None = None) -> DataFrame:
-        """The newest version, or the newest below ``before``."""
-        have = [v for v in self._versions() if before is None or v < before]
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{have[-1]}") if have else self.spark.createDataFrame([], self.schema)
-
-    def write(self, df: DataFrame, version: int) -> DataFrame:
+        done = [p for p in bronze.children(self.spark, self.path) if bronze.exists(self.spark, f"{self.path}/{p}/_SUCCESS")]
+        return sorted(int(p[1:]) for p in done)
+
+    def read(self) -> DataFrame:
+        have = self._versions()
+        return self._at(have[-1]) if have else self.spark.createDataFrame([], self.schema)
+
+    def _at(self, version: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{version}")
+
+    def write(self, df: DataFrame) -> DataFrame:
+        """Store the next version, drop those beyond the last few, and give back what was stored."""
         names = [c.strip().split(" ")[0] for c in self.schema.split(",")]
+        have = self._versions()
+        version = have[-1] + 1 if have else 0
         df.select(*names).write.mode("overwrite").parquet(f"{self.path}/v{version}")
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{version}")
+        for old in have[: 1 - KEEP_VERSIONS]:
+            bronze.remove(self.spark, f"{self.path}/v{old}")
+        return self._at(version)
 
 
-def process(spark: SparkSession, batch: DataFrame, version: int, state_root: str, owner_source: Callable[[DataFrame], DataFrame], send: Callable[[DataFrame], DataFrame], now: int | None = None) -> None:
-    """One micro-batch of raw events (raw). ``owner_source`` answers (lead_id) with (lead_id, raw); ``send`` announces (event_id, lead_id, text) and
-    returns event_id, ok and error. A notice that fails stays pending and is claimed again after the lease; after MAX_RECEIVES failures it is set aside."""
+def _state(spark: SparkSession, root: str) -> Callable[[str, str], StateTable]:
+    return lambda name, schema: StateTable(spark, f"{root}/{name}", schema)
+
+
+def _looked_up(table: StateTable, owner_source: Callable[[DataFrame], DataFrame], leads: DataFrame) -> DataFrame:
+    """The source's answers, asked for once."""
+    answers = owner_source(leads)
+    failed = F.coalesce(F.col("failed"), F.lit(False)) if "failed" in answers.columns else F.lit(False)
+    return table.write(answers.select("lead_id", "raw", failed.alias("failed")))
+
+
+def process(spark: SparkSession, batch: DataFrame, state_root: str, owner_source: Callable[[DataFrame], DataFrame], send: Callable[[DataFrame], DataFrame], now: int | None = None) -> None:
+    """One micro-batch of raw events (raw), with those that earlier batches left open. ``owner_source`` answers (lead_id) with (lead_id, raw); ``send``
+    announces (event_id, lead_id, text) and returns event_id, ok and error. A notice that fails stays pending and is claimed again after the
+    lease; after MAX_RECEIVES failures it is set aside."""
     now = int(time.time()) if now is None else now
-    ledger, cache, waiting, dead = (StateTable(spark, f"{state_root}/{n}", s) for n, s in (("ledger", LEDGER), ("owners", OWNERS), ("awaiting", AWAITING), ("failures", DEAD)))
-    known = ledger.read(2 * version)
-    events = latest_by(json_fields(batch, EVENT_PATHS).where("event_id is not null and lead_id is not null"), ["event_id"], [asc("event_created"), asc("lead_id")])
-    tried = dead.read(version)
-    open_ = events.join(tried.where(f"attempts >= {MAX_RECEIVES}").select("event_id"), "event_id", "left_anti")
+    at = _state(spark, state_root)
+    ledger, cache, waiting, dead, left = at("ledger", LEDGER), at("owners", OWNERS), at("awaiting", AWAITING), at("failures", DEAD), at("open", OPEN)
+    known, tried = ledger.read(), dead.read()
+    parsed = json_fields(batch.select("raw").unionByName(left.read().select("raw")), EVENT_PATHS, keep=("raw",)).where("event_id is not null and lead_id is not null")
+    events = latest_by(parsed, ["event_id"], [asc("event_created"), asc("lead_id"), asc("raw")])
+    done = known.where("status = 'SENT'").select("event_id").unionByName(tried.where(f"attempts >= {MAX_RECEIVES}").select("event_id"))
+    # kept before anything is claimed: an event whose batch dies is found here again
+    open_ = json_fields(left.write(events.join(done, "event_id", "left_anti")), EVENT_PATHS, keep=("raw",))
     claimed = claim(open_.select("event_id", F.lit(now).cast("long").alias("at")), known)
+    pending = claimed.select("event_id", F.lit("PENDING").alias("status"), "claimed_at", F.lit(None).cast("long").alias("sent_at"))
+    held = known.where(F.coalesce("sent_at", F.lit(now)) >= now - REMEMBER_SECONDS)
+    booked = ledger.write(held.join(claimed.select("event_id"), "event_id", "left_anti").unionByName(pending))
     todo = open_.join(claimed.select("event_id"), "event_id", "left_semi")
-    pending = ledger.write(known.join(claimed.select("event_id"), "event_id", "left_anti").unionByName(claimed.select("event_id", F.lit("PENDING").alias("status"), "claimed_at", F.lit(None).cast("long").alias("sent_at"))), 2 * version)
     leads = todo.select("lead_id").distinct()
-    owned, fresh = resolve(leads, cache.read(version), owner_source(leads), now)
-    cache.write(cache.read(version).unionByName(fresh), version)
-    waiting.write(add_missing(waiting.read(version), todo.join(owned.where("not found").select("lead_id"), "lead_id", "left_semi"), now), version)
-    result = send(notices(todo, owned.select("lead_id", "lead_email", "lead_owner", "funnel")))
-    ok = result.where("ok").select("event_id", F.lit(True).alias("__ok"))
-    after = pending.join(ok, "event_id", "left")
+    answers = _looked_up(at("lookups", ANSWERS), owner_source, leads.join(cache.read().select("lead_id"), "lead_id", "left_anti"))
+    owned, fresh = resolve(leads, cache.read(), answers.where("not failed").select("lead_id", "raw"), now)
+    misses = todo.join(owned.where("not found").select("lead_id"), "lead_id", "left_semi")
+    waiting.write(add_missing(waiting.read(), misses, now))
+    result = at("results", RESULTS).write(send(notices(todo, owned.select("lead_id", "lead_email", "lead_owner", "funnel"))))
+    cache.write(cache.read().unionByName(fresh))
+    ok = result.where("ok").select("event_id").distinct().withColumn("__ok", F.lit(True))
     hit = F.col("__ok").isNotNull()
-    ledger.write(after.select("event_id", F.when(hit, "SENT").otherwise(F.col("status")).alias("status"), "claimed_at", F.when(hit, F.lit(now)).otherwise(F.col("sent_at")).cast("long").alias("sent_at")), 2 * version + 1)
+    ledger.write(booked.join(ok, "event_id", "left").select("event_id", F.when(hit, "SENT").otherwise(F.col("status")).alias("status"), "claimed_at", F.when(hit, F.lit(now)).otherwise(F.col("sent_at")).cast("long").alias("sent_at")))
     bad = result.where("not ok").select("event_id", F.lit(1).alias("attempts"), "error")
-    dead.write(tried.unionByName(bad).groupBy("event_id").agg(F.sum("attempts").cast("int").alias("attempts"), F.last("error").alias("error")), version)
+    fates = dead.write(tried.unionByName(bad).groupBy("event_id").agg(F.sum("attempts").cast("int").alias("attempts"), F.last("error").alias("error")))
+    over = ok.select("event_id").unionByName(fates.where(f"attempts >= {MAX_RECEIVES}").select("event_id"))
+    left.write(left.read().join(over, "event_id", "left_anti"))
+
+
+def retry(spark: SparkSession, state_root: str, owner_source, send, now: int | None = None) -> None:
+    """Try the events again that earlier batches left open and whose lease is over, though nothing new has landed."""
+    process(spark, spark.createDataFrame([], "raw string"), state_root, owner_source, send, now)
+
 
+def run_sweep(spark: SparkSession, state_root: str, owner_source: Callable[[DataFrame], DataFrame], notify: Callable[[DataFrame], None], now: int | None = None, limit: int = MAX_ROWS_PER_SWEEP) -> dict[str, int]:
+    """One scheduled pass over the worklist; returns its counts. ``owner_source`` may add a column ``failed`` for lookups that broke: those use up no retry.
 
-def run_sweep(spark: SparkSession, state_root: str, version: int, owner_source: Callable[[DataFrame], DataFrame], notify: Callable[[DataFrame], None], now: int | None = None, limit: int = MAX_ROWS_PER_SWEEP) -> dict[str, int]:
-    """One scheduled pass over the worklist; returns its counts. ``owner_source`` may add a column ``failed`` for lookups that broke: those use up no retry."""
+    The outcome is applied to the worklist as it is then: what a stream has added meanwhile stays, and a row that another sweep has
+    counted is left alone."""
     now = int(time.time()) if now is None else now
-    cache, waiting = StateTable(spark, f"{state_root}/owners", OWNERS), StateTable(spark, f"{state_root}/awaiting", AWAITING)
-    work = waiting.read(version)
-    asked = work.where("status = 'AWAITING'").select("lead_id").orderBy("lead_id").limit(limit)
-    answers = owner_source(asked)
-    failed = answers.where("failed").select("lead_id") if "failed" in answers.columns else asked.where("false")
-    found = landing.owner_rows(answers.join(failed, "lead_id", "left_anti").select("lead_id", "raw"), now)
-    swept = sweep(work, found, now, failed, limit=limit)
-    cache.write(cache.read(version).join(found.select("lead_id"), "lead_id", "left_anti").unionByName(found), version)
+    at = _state(spark, state_root)
+    cache, waiting = at("owners", OWNERS), at("awaiting", AWAITING)
+    work = at("sweeping", AWAITING).write(longest_waiting(waiting.read(), limit))
+    answers = _looked_up(at("sweep_lookups", ANSWERS), owner_source, work.select("lead_id"))
+    failed = answers.where("failed").select("lead_id")
+    found = landing.owner_rows(answers.where("not failed").select("lead_id", "raw"), now)
+    swept = at("swept", SWEPT).write(sweep(work, found, now, failed))
     notify(escalation(swept))
+    waiting.write(apply_sweep(waiting.read(), swept))
+    cache.write(cache.read().join(found.select("lead_id"), "lead_id", "left_anti").unionByName(found))
     counts = {r["next_status"]: r["count"] for r in swept.groupBy("next_status").count().collect()}
-    waiting.write(apply_sweep(work, swept), version)
     return {"promoted": counts.get("PROMOTED", 0), "still_waiting": counts.get("AWAITING", 0), "exhausted": counts.get("EXHAUSTED", 0), "source_errors": failed.count()}
 
 
 WAITING = "raw string, landed_at long"
 
 
-def split_due(spark: SparkSession, batch: DataFrame, version: int, state_root: str, delay: int, now: int) -> DataFrame:
+def split_due(spark: SparkSession, batch: DataFrame, state_root: str, delay: int, now: int) -> DataFrame:
     """Events (raw, landed_at) that have waited for ``delay`` seconds; younger ones are kept for a later batch."""
     pending = StateTable(spark, f"{state_root}/pending", WAITING)
-    rows = pending.read(version).unionByName(batch.where("raw is not null").select("raw", "landed_at"))
-    pending.write(rows.where(F.col("landed_at") > now - delay), version)
-    return rows.where(F.col("landed_at") <= now - delay).select("raw")
+    rows = pending.read().unionByName(batch.where("raw is not null").select("raw", "landed_at"))
+    due = StateTable(spark, f"{state_root}/due", WAITING).write(rows.where(F.col("landed_at") <= now - delay))
+    pending.write(rows.where(F.col("landed_at") > now - delay))
+    return due.select("raw")
 
 
 def run(spark: SparkSession, bronze_root: str, state_root: str, owner_source, send, delay: int = DELAY_SECONDS, now: Callable[[], int] = lambda: int(time.time()), **trigger):
     """A streaming query over landed CRM events, each handled ``delay`` seconds after it landed.
 
     By default it makes one pass over what is there (availableNow). With processingTime it runs on; a slow tick then makes a batch even
-    when nothing lands, so that waiting events fall due."""
+    when nothing lands, so that waiting events fall due and failed notices are tried again."""
 
     def each(batch: DataFrame, number: int) -> None:
-        due = batch.select("raw") if not delay else split_due(spark, batch, number + 1, state_root, delay, now())
-        process(spark, due.where("raw is not null"), number + 1, state_root, owner_source, send, now())
+        due = batch.select("raw") if not delay else split_due(spark, batch, state_root, delay, now())
+        process(spark, due.where("raw is not null"), state_root, owner_source, send, now())
 
     events = bronze.stream(spark, bronze_root, "crm_event").select("raw", F.unix_timestamp("_metadata.file_modification_time").alias("landed_at"))
     if "processingTime" in trigger:

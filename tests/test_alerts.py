@@ -1,10 +1,15 @@
+import http.server
 import json
+import threading
+import uuid
 
+import pandas as pd
+import pytest
 from feeds import crm
 from pyspark.sql import functions as F
 
 from millrace.sources import bronze
-from millrace.streaming import alerts
+from millrace.streaming import alerts, notify
 
 
 def test_claims(spark):
@@ -46,7 +51,13 @@ def test_stream_sends_once_and_keeps_misses(spark, land, tmp_path):
     go = lambda: alerts.run(spark, root, state, lambda leads: owners, send, delay=0, now=lambda: clock[0]).awaitTermination()
     go()
     assert [s[0] for s in sent] == ["ev_1"] and "*Lead Owner:* Bob" in sent[0][1] and "*Funnel:* _pending_" in sent[0][1]
-    clock[0], fail = 2000, set()
+    clock[0] = 1050
+    fail.clear()
+    alerts.retry(spark, state, lambda leads: owners, send, clock[0])
+    assert [s[0] for s in sent] == ["ev_1"]  # the lease still runs
+    clock[0] = 2000
+    alerts.retry(spark, state, lambda leads: owners, send, clock[0])  # nothing was delivered anew
+    assert [s[0] for s in sent] == ["ev_1", "ev_2"] and alerts.StateTable(spark, f"{state}/open", alerts.OPEN).read().count() == 0
     land("crm/events/dt=2025-05-20/b.json", [crm("ev_1"), crm("ev_2", lead="lead_2", name="")])
     go()
     assert [s[0] for s in sent] == ["ev_1", "ev_2"] and "_not provided_" in sent[1][1] and "_pending assignment_" in sent[1][1]
@@ -77,11 +88,104 @@ def test_events_wait_for_the_delay(spark, land, tmp_path):
 def test_run_sweep(spark, tmp_path):
     state = str(tmp_path / "s")
     work = spark.createDataFrame([(x, "e", 1, n, "AWAITING", None) for x, n in (("a", 0), ("b", 23), ("c", 1), ("d", 2))], alerts.AWAITING)
-    alerts.StateTable(spark, f"{state}/awaiting", alerts.AWAITING).write(work, 0)
+    alerts.StateTable(spark, f"{state}/awaiting", alerts.AWAITING).write(work)
     answers = spark.createDataFrame([("a", '{"lead_owner": "Bob"}', False), ("b", None, False), ("c", None, False), ("d", None, True)], "lead_id string, raw string, failed boolean")
     told = []
-    out = alerts.run_sweep(spark, state, 1, lambda leads: answers.join(leads, "lead_id", "left_semi"), lambda df: told.extend(df.collect()), now=50)
+    out = alerts.run_sweep(spark, state, lambda leads: answers.join(leads, "lead_id", "left_semi"), lambda df: told.extend(df.collect()), now=50)
     assert out == {"promoted": 1, "still_waiting": 1, "exhausted": 1, "source_errors": 1} and len(told) == 1
     rows = {r.lead_id: (r.status, r.retry_count) for r in alerts.StateTable(spark, f"{state}/awaiting", alerts.AWAITING).read().collect()}
     assert rows == {"b": ("EXHAUSTED", 24), "c": ("AWAITING", 2), "d": ("AWAITING", 2)}
     assert [(r.lead_id, r.lead_owner) for r in alerts.StateTable(spark, f"{state}/owners", alerts.OWNERS).read().collect()] == [("a", "Bob")]
+
+
+def test_lazy_calls_are_made_once(spark, tmp_path):
+    """A send and a lookup that are plans, not collected rows: each event is posted once, each lead asked for once."""
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def note(kind, key):
+        (log / f"{kind}-{key}-{uuid.uuid4().hex}").touch()
+
+    def send(df):
+        def each(frames):
+            for f in frames:
+                for e in f.event_id:
+                    note("post", e)
+                yield pd.DataFrame({"event_id": f.event_id, "ok": True, "error": None})
+
+        return df.mapInPandas(each, alerts.RESULTS)
+
+    def owners(leads):
+        def each(frames):
+            for f in frames:
+                for e in f.lead_id:
+                    note("ask", e)
+                yield pd.DataFrame({"lead_id": f.lead_id, "raw": '{"lead_owner": "Bob"}'})
+
+        return leads.mapInPandas(each, "lead_id string, raw string")
+
+    batch = spark.createDataFrame([(json.dumps(crm(f"ev_{k}", lead=f"lead_{k}")),) for k in range(3)], "raw string")
+    state = str(tmp_path / "s")
+    alerts.process(spark, batch, state, owners, send, 100)
+    alerts.process(spark, batch, state, owners, send, 900)
+    calls = sorted(p.name.rsplit("-", 1)[0] for p in log.iterdir())
+    assert calls == sorted([f"post-ev_{k}" for k in range(3)] + [f"ask-lead_{k}" for k in range(3)])
+
+
+def test_stream_and_sweep_interleave(spark, tmp_path):
+    """What the stream adds while a sweep is out looking stays, and a count that another sweep raised isn't raised twice."""
+    state = str(tmp_path / "s")
+    waiting = alerts.StateTable(spark, f"{state}/awaiting", alerts.AWAITING)
+    waiting.write(spark.createDataFrame([("a", "e", 1, 3, "AWAITING", None), ("b", "e", 1, 3, "AWAITING", None)], alerts.AWAITING))
+
+    def meanwhile(leads):
+        now = waiting.read()
+        waiting.write(alerts.add_missing(now, spark.createDataFrame([("new", "e9")], "lead_id string, event_id string"), 7).withColumn("retry_count", F.expr("if(lead_id = 'b', 4, retry_count)")))
+        return leads.select("lead_id", F.lit(None).cast("string").alias("raw"))
+
+    alerts.run_sweep(spark, state, meanwhile, lambda df: None, now=50)
+    assert {(r.lead_id, r.retry_count) for r in waiting.read().collect()} == {("a", 4), ("b", 4), ("new", 0)}
+
+
+def test_sweep_takes_turns(spark, tmp_path):
+    state, asked = str(tmp_path / "s"), []
+    rows = [(f"l{k}", "e", 1, 0, "AWAITING", None) for k in range(5)]
+    alerts.StateTable(spark, f"{state}/awaiting", alerts.AWAITING).write(spark.createDataFrame(rows, alerts.AWAITING))
+    none = lambda leads: (asked.append(sorted(r.lead_id for r in leads.collect())), leads.select("lead_id", F.lit(None).cast("string").alias("raw")))[1]
+    for now in (10, 20, 30):
+        alerts.run_sweep(spark, state, none, lambda df: None, now=now, limit=2)
+    assert asked == [["l0", "l1"], ["l2", "l3"], ["l0", "l4"]]
+
+
+def test_state_forgets_old_versions(spark, tmp_path):
+    t = alerts.StateTable(spark, str(tmp_path / "t"), "k string")
+    for n in range(6):
+        t.write(spark.createDataFrame([(str(n),)], "k string"))
+    assert [r.k for r in t.read().collect()] == ["5"] and len(t._versions()) == alerts.KEEP_VERSIONS
+
+
+def test_notice_sinks(spark):
+    got = []
+
+    class Hook(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            text = json.loads(self.rfile.read(int(self.headers["Content-Length"])))["text"]
+            got.append(text)
+            self.send_response(500 if "bad" in text else 200)
+            self.end_headers()
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Hook)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    url = f"http://127.0.0.1:{server.server_port}/"
+    rows = spark.createDataFrame([("e1", "good"), ("e2", "bad"), ("e3", "fine")], "event_id string, text string")
+    assert {(r.event_id, r.ok) for r in notify.sender(url)(rows).collect()} == {("e1", True), ("e2", False), ("e3", True)} and sorted(got) == ["bad", "fine", "good"]
+    assert {(r.ok, r.error) for r in notify.sender(None)(rows).collect()} == {(True, "dry run")}
+    said = []
+    notify.escalator(None, said.append)(spark.createDataFrame([("text", 1)], "text string, n long"))
+    assert said == ["text"]
+    with pytest.raises(OSError):
+        notify.escalator(url)(spark.createDataFrame([("bad", 1)], "text string, n long"))
+    server.shutdown()

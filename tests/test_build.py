@@ -3,6 +3,7 @@ from feeds import FUNNEL, crm
 
 from millrace.operators import silver
 from millrace.plans import build, serve
+from millrace.streaming import alerts
 
 
 @pytest.fixture
@@ -27,10 +28,28 @@ def test_failure_swaps_nothing(spark, root, tmp_path):
     def broken(ctx, tables, *same):
         raise ValueError("no such thing")
 
+    build.build(spark, root, str(tmp_path / "wh2"), "2025-07-12", "20250601t000000")
     layers = {"silver": {"dim_lead": silver.dim_lead, "fct_spend": broken}, "gold": {"x": broken}}
     with pytest.raises(build.BuildFailed, match="silver.fct_spend"):
         build.build(spark, root, str(tmp_path / "wh2"), "2025-07-12", "20990101t000000", layers=layers)
-    assert "20990101t000000" not in spark.sql("SHOW CREATE TABLE silver.dim_lead").first()[0] if spark.catalog.tableExists("silver.dim_lead") else True
+    assert [r["tableName"] for r in spark.sql("SHOW TABLES IN silver LIKE 'dim_lead__20990101*'").collect()] == ["dim_lead__20990101t000000"]  # built
+    assert "20990101t000000" not in spark.sql("SHOW CREATE TABLE silver.dim_lead").first()[0]  # but not swapped in
+
+
+def test_owner_snapshot_goes_first(spark, root, tmp_path):
+    state = str(tmp_path / "state")
+    owner = [("lead_1", "Bob", "a@x", "VSL", "Ann", "Potential", "2025-05-20", 5)]
+    alerts.StateTable(spark, f"{state}/owners", alerts.OWNERS).write(spark.createDataFrame(owner, alerts.OWNERS))
+    build.build(spark, root, str(tmp_path / "wh"), "2025-07-12", "20980101t000000", before=build.owner_snapshot(spark, state, root))
+    got = serve.silver(spark, "dim_lead", where="lead_id = 'lead_1'").first()
+    assert got["has_owner"] and got["enrichment_status"] == "ENRICHED"
+
+    def broken(asof):
+        raise OSError("no state")
+
+    with pytest.raises(OSError):
+        build.build(spark, root, str(tmp_path / "wh"), "2025-07-12", "20980102t000000", before=broken)
+    assert not build.versions(spark, "silver", "dim_lead")[0].endswith("20980102t000000")
 
 
 def test_order_and_missing_seed(spark, tmp_path):

@@ -1,14 +1,15 @@
 import hashlib
 import hmac
-import io
+import http.server
 import json
-import urllib.error
-from datetime import date
+import threading
+import urllib.parse
 
 import pytest
 from feeds import booking, crm
 from pyspark.sql import functions as F
 
+from millrace.operators import silver
 from millrace.sources import bronze, landing, paged, signature
 
 
@@ -50,8 +51,8 @@ def test_spend_pull_converges(spark, tmp_path):
     m = manifest.collect()
     assert [(r.asof, r.row_count, r.date_min, r.date_max, r.channels) for r in m] == [("2026-07-21", 2, "2026-07-20", "2026-07-21", "tiktok_paid_ads")]
     known = spark.createDataFrame(m, empty.schema)
-    index = spark.createDataFrame([(a,) for a in landing.advertised({"files": ["x/spend_data_2026-07-21.json", "spend_data_2026-07-22.json", "README.txt"]})], "asof string")
-    assert [r.asof for r in landing.still_missing(index, known).collect()] == ["2026-07-22"]
+    published = index(spark, {"files": ["x/spend_data_2026-07-21.json", "spend_data_2026-07-22.json", "README.txt"]})
+    assert [r.asof for r in landing.still_missing(published, known).collect()] == ["2026-07-22"]
     put("2026-07-21", [row("2026-07-20", 9)])
     put("2026-07-22", [row("2026-07-22", 3)])
     state = {r.asof: r.state for r in landing.classify(files(), known).collect()}
@@ -62,19 +63,27 @@ def test_spend_pull_converges(spark, tmp_path):
     assert again.count() == 0
 
 
-def test_index_shapes():
-    assert landing.advertised(["spend_data_2026-07-21.json", {"file": "a/spend_data_2026-07-22.json"}]) == {"2026-07-21": "spend_data_2026-07-21.json", "2026-07-22": "spend_data_2026-07-22.json"}
+def index(spark, value):
+    return landing.advertised(spark.createDataFrame([(json.dumps(value),)], "content string"))
+
+
+def test_index_shapes(spark):
+    good = ["spend_data_2026-07-21.json", {"file": "a/spend_data_2026-07-22.json"}, "README.txt"]
+    for shape in (good, {"files": good}):
+        assert sorted(map(tuple, index(spark, shape).collect())) == [("2026-07-21", "spend_data_2026-07-21.json"), ("2026-07-22", "spend_data_2026-07-22.json")]
     for bad in ({"x": 1}, [], ["README.txt"], "text"):
-        with pytest.raises(ValueError):
-            landing.advertised(bad)
+        with pytest.raises(Exception, match="file index"):
+            index(spark, bad).collect()
 
 
 def test_windows(spark):
-    assert landing.resolve_window(today=date(2025, 7, 10)) == ("2025-07-04", "2025-07-10")
-    assert landing.days("2025-07-09", "2025-07-10") == ["2025-07-09", "2025-07-10"]
-    with pytest.raises(ValueError):
-        landing.days("2025-07-10", "2025-07-09")
-    assert landing.pulls(spark, ["a", "b"], "2025-07-09", "2025-07-11").count() == 6
+    dts = lambda *a, **k: [r.dt for r in landing.window(spark, *a, **k).orderBy("dt").collect()]
+    assert dts(today="2025-07-10") == [f"2025-07-{d:02}" for d in range(4, 11)] and len(dts()) == landing.LOOKBACK_DAYS
+    assert dts("2025-07-09", "2025-07-10") == ["2025-07-09", "2025-07-10"]
+    with pytest.raises(Exception, match="ends before its start"):
+        dts("2025-07-10", "2025-07-09")
+    media = spark.createDataFrame([("a",), ("b",)], "hashed_id string")
+    assert sorted(r.pull_key for r in landing.pulls(landing.window(spark, "2025-07-09", "2025-07-11"), media).collect())[:2] == ["events#a#2025-07-09", "events#a#2025-07-10"]
 
 
 def test_land_overwrites_only_its_days(spark, tmp_path):
@@ -113,24 +122,92 @@ def test_signatures_are_not_interchangeable(spark):
     assert [r.ok for r in df.select(signature.verified("booking", key, now)("h", "b").alias("ok")).collect()] == [True, False, False]
 
 
-def test_retries_and_pages():
-    answers = [urllib.error.HTTPError("u", 503, "busy", {}, None), TimeoutError(), io.BytesIO(b"[1]")]
-
-    def opener(request, timeout):
-        a = answers.pop(0)
-        if isinstance(a, Exception):
-            raise a
-        return a
-
-    assert paged.get_json("http://u", {"a": 1}, pause=0.0, opener=opener) == [1]
+def test_answers_are_sorted_into_final_and_passing():
+    script = [(503, b"busy"), (0, b"timed out"), (200, b"{broken"), (200, b"[1]")]
+    waited = []
+    client = paged.Client("http://u", waits=(1.0, 2.0, 3.0), transport=lambda *_: script.pop(0), sleep=waited.append)
+    assert client.ask({"a": 1}) == [1] and waited == [1.0, 2.0, 3.0]
+    with pytest.raises(paged.Refused):
+        paged.Client("http://u", transport=lambda *_: (404, b"no")).ask({})
+    with pytest.raises(paged.Unavailable):
+        paged.Client("http://u", waits=(1.0,), transport=lambda *_: (429, b""), sleep=waited.append).ask({})
+    data = [{"n": n} for n in range(230)]
+    page = lambda _, q, __: (200, json.dumps(data[(q["page"] - 1) * q["per_page"] : q["page"] * q["per_page"]]).encode())
+    assert list(paged.Client("http://u", transport=page).window({})) == data
+    assert list(paged.Client("http://u", transport=lambda *_: (200, b'{"id": 1}')).window({})) == [{"id": 1}]
+    with pytest.raises(paged.Unavailable, match="narrow"):
+        list(paged.Client("http://u", transport=lambda _, q, __: (200, json.dumps([0] * q["per_page"]).encode())).window({}))
+
+
+class Api(http.server.BaseHTTPRequestHandler):
+    """Two media; their events of a day in pages, daily stats, and metadata as one object. The first request of all is refused for now."""
+
+    asked: list = []
+
+    def do_GET(self):
+        url = urllib.parse.urlparse(self.path)
+        q = {k: v[0] for k, v in urllib.parse.parse_qs(url.query).items()}
+        Api.asked.append(self.headers.get("Authorization"))
+        rows = [{"event_key": f"{q.get('media_id')}-{q.get('start_date')}-{n}", "a": 1} for n in range(130 if q.get("media_id") == "m1" else 0)]
+        body = {"hashed_id": url.path[len("/media/") :], "name": "x"} if url.path.startswith("/media/") else rows[(int(q["page"]) - 1) * 100 : int(q["page"]) * 100]
+        self.send_response(503 if len(Api.asked) == 1 else 200)
+        self.end_headers()
+        self.wfile.write(json.dumps(body).encode())
+
+    def log_message(self, *_):
+        pass
+
+
+@pytest.fixture
+def api():
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Api)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}"
+    server.shutdown()
+
+
+def test_paged_source_through_spark(spark, api, tmp_path):
+    paged.register(spark)
+    pull = spark.read.format("paged_events").option("media", "m1,m2").option("token", "t").option("waits", "0.01,0.01")
+    events = pull.option("url", f"{api}/events").option("days", "2025-07-09,2025-07-10").load()
+    days, media = landing.window(spark, "2025-07-09", "2025-07-10"), spark.createDataFrame([("m1",), ("m2",)], "hashed_id string")
+    objects = landing.pull_objects(landing.pulls(days, media), events, "events")
+    root = str(tmp_path / "b")
+    landing.land_pulls(objects, root)
+    assert "Bearer t" in Api.asked
+    rows = bronze.read(spark, root, "wistia_visitor_event")
+    assert rows.count() == 260 and rows.select("dt").distinct().count() == 2
+    assert (tmp_path / "b/wistia/visitor_events/dt=2025-07-09/m2.json").read_text() == ""  # asked, nothing there
+    meta = spark.read.format("paged_events").option("media", "m1,m2").option("url", f"{api}/media/{{hashed_id}}").load()
+    assert sorted((r.hashed_id, r.dt, json.loads(r.raw)["name"]) for r in meta.collect()) == [("m1", None, "x"), ("m2", None, "x")]
 
-    def refuse(request, timeout):
-        raise urllib.error.HTTPError("u", 404, "no", {}, None)
 
-    with pytest.raises(urllib.error.HTTPError):
-        paged.get_json("http://u", {}, opener=refuse)
-    data = list(range(230))
-    fetch = lambda p: data[(p["page"] - 1) * p["per_page"] : p["page"] * p["per_page"]]
-    assert list(paged.pages(fetch, {})) == data
-    with pytest.raises(RuntimeError):
-        list(paged.pages(lambda p: [0] * p["per_page"], {}))
+def test_events_of_a_day_stay(spark, tmp_path):
+    """A second event of the same day doesn't delete the first, and a redelivery is no second event."""
+    root = str(tmp_path / "b")
+    for batch in ([crm("ev_1")], [crm("ev_2")], [crm("ev_1")]):
+        landing.land_events(landing.crm_events(bodies(spark, *batch)), root)
+    got = bronze.read(spark, root, "crm_event").collect()
+    assert sorted(json.loads(r.raw)["event"]["id"] for r in got) == ["ev_1", "ev_2"] and {r.dt for r in got} == {"2025-05-20"}
+    pretty = spark.createDataFrame([(json.dumps(crm("ev_3"), indent=2),)], "body string")
+    landing.land_events(landing.crm_events(pretty), root)
+    assert bronze.read(spark, root, "crm_event").count() == 3
+    landing.land_events(landing.booking_events(bodies(spark, booking("m", "i"), booking("m", "i2"))), root)
+    assert bronze.read(spark, root, "calendly_booking").count() == 2
+
+
+def test_daily_stats_keep_their_medium(spark, tmp_path):
+    root = str(tmp_path / "b")
+    days, media = landing.window(spark, "2025-07-09", "2025-07-09"), spark.createDataFrame([("m1",), ("m2",)], "hashed_id string")
+    stats = spark.createDataFrame([(m, "2025-07-09", json.dumps({"date": "2025-07-09", "load_count": n, "play_count": 1, "hours_watched": 0.5})) for m, n in (("m1", 5), ("m2", 7))], "hashed_id string, dt string, raw string")
+    landing.land_pulls(landing.pull_objects(landing.pulls(days, media, "stats"), stats, "stats"), root)
+    out = silver.fct_media_daily_stats(silver.BuildContext("b", "2025-07-12"), bronze.read_all(spark, root)).collect()
+    assert sorted((r.hashed_id, r.load_count) for r in out) == [("m1", 5), ("m2", 7)]
+
+
+def test_keys_and_identification(spark):
+    keys = spark.createDataFrame([("crm%2Fevents/dt%3D2025-05-20/a+b.json",), ("%zz",)], "k string").select(landing.object_key("k").alias("k")).collect()
+    assert [r.k for r in keys] == ["crm/events/dt=2025-05-20/a b.json", None]
+    e = spark.createDataFrame([("a@x",), (" ",), (None,), (None,)], "email string")
+    assert landing.identification(e).first().asDict() == {"events": 4, "identified": 1, "identification_rate": 0.25}
+    assert landing.identification(e.where("false")).first().identification_rate is None
