@@ -1,8 +1,8 @@
 """Variable-capacity best-fit packing of documents into training sequences.
 
-A document's length is its number of UTF-8 bytes and one for its end: no tokenizer is run, a unit is a byte and not a BPE token, and a
-sequence holds that many bytes. One longer than the largest permitted length is cut
-into full sequences and a rest, by bytes, maybe inside a character. Pieces are dealt by hash into shards of bounded size; each is packed by itself: longest first,
+A document's length is its number of tokens by the public byte-level BPE, which it is encoded with whole, and one for its end. One longer
+than the largest permitted length is cut into full sequences and a rest, between tokens. Pieces are dealt by hash into shards of bounded
+size, equal ones too, for each is told from the others by its number among them; each shard is packed by itself: longest first,
 into the open sequence with the least room that suffices. Where none has room, the size is opened whose cost for each token it can
 expect to hold is least. This is done once for each largest size allowed, the cheapest packing is taken, and at last every
 sequence is downsized to the least permitted length that holds its contents.
@@ -10,7 +10,7 @@ sequence is downsized to the least permitted length that holds its contents.
 Cost of a sequence of length c: OVERHEAD + c + c*c / ATTENTION.
 
 Cases: null texts count as empty, and an empty document is its end token alone; ties in length go by doc_id and piece;
-rows that repeat a doc_id are packed each; a null doc_id is packed like others; an empty table gives an empty table; extra
+rows that repeat a doc_id are packed each; a null doc_id is packed like others; strings of special tokens are ordinary text; an empty table gives an empty table; extra
 columns pass by."""
 
 from __future__ import annotations
@@ -22,12 +22,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import tokencounts
+from millrace.llm.runtime import cut
 from millrace.session import ship_package
 
 CAPACITIES = (1024, 2048, 4096, 8192, 16384)
 OVERHEAD, ATTENTION = 128.0, 65536.0
-#: Pieces in a shard, on average: what one task holds.
-SHARD_ROWS = 8192
+#: Pieces in a shard, on average: what one task holds. Equal rows that are dealt out at once.
+SHARD_ROWS, COPIES = 8192, 65536
 
 
 def cost(c: float) -> float:
@@ -78,16 +80,25 @@ def pack_lengths(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES) -
     return best[1:] if best else ([], [], [])
 
 
-def pack(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """doc_id, piece, start (first byte of the piece), length, bin_id, bin_offset and capacity of every piece."""
+def pieces(docs: DataFrame, top: int, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """doc_id, piece, start, length (in tokens) and copy, the number of a piece among equal ones."""
+    sizes = tokencounts.lengths(docs, path, pattern).select("doc_id", (F.col("length") + 1).alias("n"))
+    # equal rows are counted, not gathered, and dealt out again in arrays of bounded size
+    equal = sizes.groupBy("doc_id", "n").agg(F.count("*").alias("rows"))
+    many = equal.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / COPIES).cast("long"))))
+    last = F.least(F.lit(COPIES).cast("long"), F.col("rows") - F.col("part") * COPIES) - 1
+    each = many.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), last))).withColumn("copy", F.col("copy") + F.col("part") * COPIES)
+    cuts = each.withColumn("piece", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / top) - 1).cast("int"))))
+    start = F.col("piece") * F.lit(top).cast("long")
+    return cuts.select("doc_id", "piece", start.alias("start"), F.least(F.lit(top).cast("long"), F.col("n") - start).alias("length"), "copy")
+
+
+def pack(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, shard_rows: int = SHARD_ROWS, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """doc_id, piece, start (first token of the piece), length (tokens), bin_id, bin_offset and capacity of every piece."""
     ship_package(docs.sparkSession)
-    top = max(capacities)
-    whole = docs.select("doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("n"))
-    pieces = whole.select("doc_id", "n", F.explode(F.sequence(F.lit(0), (F.ceil(F.col("n") / top) - 1).cast("int"))).alias("piece"))
-    pieces = pieces.select("doc_id", "piece", (F.col("piece") * F.lit(top).cast("long")).alias("start"), F.least(F.lit(top).cast("long"), F.col("n") - F.col("piece") * F.lit(top).cast("long")).alias("length"))
-    count = whole.agg(F.sum(F.ceil(F.col("n") / top))).first()[0] or 0
-    shards = max(1, -(-int(count) // shard_rows))
-    dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards)))
+    found = cut(pieces(docs, max(capacities), path, pattern))  # encoded once, counted and dealt
+    shards = max(1, -(-found.count() // shard_rows))
+    dealt = found.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length", "copy"), F.lit(shards)))
 
     def one(key, pdf):
         pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")

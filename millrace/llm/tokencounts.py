@@ -14,10 +14,11 @@ import base64
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from millrace.llm.runtime import blocks, cut, text_of
+from millrace.llm.runtime import blocks, cut, map_blocks, text_of
 from millrace.session import ship_package
 
 #: Lengths that share a range of the two-level suffix sums.
@@ -48,13 +49,29 @@ def length(enc, text: str) -> int:
     return len(enc.encode_ordinary(text)) if text else 0
 
 
+def _shared(spark: SparkSession, path: str | None, pattern: str | None):
+    """The vocabulary, of fixed size, as a broadcast, and the split pattern."""
+    if path is None or pattern is None:
+        path, pattern = default_vocabulary()
+    with open(path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read()), pattern
+
+
+def lengths(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """doc_id, length: the number of tokens of every whole text."""
+    shared, pattern = _shared(docs.sparkSession, path, pattern)
+
+    def count(text: pa.Array) -> list:
+        enc = encoder(shared.value, pattern)
+        return [pa.array([length(enc, t) for t in text.to_pylist()], pa.int64())]
+
+    return map_blocks(docs, count, ["doc_id"], [T.StructField("length", T.LongType())])
+
+
 def histogram(docs: DataFrame, path: str | None = None, pattern: str | None = None) -> DataFrame:
     """length, n_docs: how many documents have each encoded length."""
     ship_package(docs.sparkSession)
-    if path is None or pattern is None:
-        path, pattern = default_vocabulary()
-    with open(path, "rb") as f:  # the vocabulary, of fixed size, goes to the workers with the broadcast
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+    shared, pattern = _shared(docs.sparkSession, path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -73,7 +90,7 @@ def histogram(docs: DataFrame, path: str | None = None, pattern: str | None = No
 
 def suffix_sums(hist: DataFrame) -> DataFrame:
     """For every length L: n_docs, docs_at_least, tokens_at_least, docs_below, tokens_below and truncated_total, the tokens of all
-    documents cut at L. No window holds more than RANGE lengths, or the ranges."""
+    documents cut at L. No window holds more than RANGE lengths, or the ranges, of which there are at most the longest text's tokens / RANGE."""
     rows = hist.select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("tokens"), F.floor(F.col("length") / RANGE).cast("long").alias("part"))
     sums = rows.groupBy("part").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

@@ -141,6 +141,16 @@ def test_packing_invariants():
     assert packing.best_fit([6, 5, 4, 3, 2], (10,))[0] == [0, 1, 0, 1, 1]
 
 
+def searched(ids, x, qids, q, k, factor):
+    """One shard of all rows, equal vectors being one point."""
+    points, at = np.unique(x, axis=0, return_inverse=True)
+    of = [np.sort(ids[at == k]) for k in range(len(points))]
+    top = np.sqrt((points * points).sum(1)).max() * (1 + 1e-12)
+    shard = vptree.Shard(vptree.Tree(vptree.lift(points, top)), points, of)
+    out = vptree.search_shard(shard, qids, q, k, factor, np.full(len(q), -2.0))
+    return out.query_id.to_numpy(), out.vec_id.to_numpy(), out.score.to_numpy()
+
+
 def test_vptree_exact_at_factor_one():
     rng = np.random.default_rng(7)
     x = rng.normal(size=(3000, 8)) * rng.uniform(0.2, 3, (3000, 1))
@@ -148,15 +158,15 @@ def test_vptree_exact_at_factor_one():
     x[5] = 0.5 * x[6]
     ids = rng.permutation(3000).astype(np.int64) * 3
     q = np.flatnonzero(ids % 20 == 0)
-    qi, vi, sc = vptree.search_shard(ids, x, ids[q], x[q], 20, 1.0)
+    qi, vi, sc = searched(ids, x, ids[q], x[q], 20, 1.0)
     score = vptree.exact_scores(np.repeat(x, len(q), 0), np.tile(x[q], (len(x), 1))).reshape(len(x), len(q))
     for k, i in enumerate(q):
         order = [j for j in np.lexsort((ids, -score[:, k])) if j != i][:20]
         assert vi[qi == ids[i]].tolist() == ids[order].tolist() and sc[qi == ids[i]].tolist() == score[order, k].tolist()
-    loose = vptree.search_shard(ids, x, ids[q], x[q], 20, vptree.FACTOR)
+    loose = searched(ids, x, ids[q], x[q], 20, vptree.FACTOR)
     pairs = set(zip(qi.tolist(), vi.tolist()))
     assert len(pairs & set(zip(loose[0].tolist(), loose[1].tolist()))) >= 0.9 * len(pairs)
-    few = vptree.search_shard(ids[:5], x[:5], ids[:5], x[:5], 20, 1.0)
+    few = searched(ids[:5], x[:5], ids[:5], x[:5], 20, 1.0)
     assert Counter(few[0].tolist()) == {int(i): 4 for i in ids[:5]}
 
 

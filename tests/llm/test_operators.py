@@ -5,6 +5,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from conftest import SMALL
@@ -248,9 +249,70 @@ def test_quality_rules_drop_junk(spark):
     assert out.kept[out.quality == 0].mean() < 0.12 and out.kept[out.quality == 1].mean() > 0.998
 
 
+def n_tokens():
+    path, pattern = tokencounts.default_vocabulary()
+    with open(path, "rb") as f:
+        enc = tokencounts.encoder(f.read(), pattern)
+    return lambda text: len(enc.encode_ordinary(text or ""))
+
+
+def test_equal_rows_are_dealt_to_many_shards(spark):
+    same = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same text").alias("text"))
+    p = packing.pack(same, capacities=(8, 64), shard_rows=100).toPandas()
+    shards = (p.bin_id.to_numpy() >> 32)
+    assert len(p) == 3000 and p.length.nunique() == 1 and len(set(shards)) == 30 and np.bincount(shards).max() < 200
+
+
+def test_packing_query_against_a_plain_one(small):
+    """Every shard of the query's result, packed again with plain lists and linear scans."""
+    p = packing.pack(small["documents"], capacities=(64, 256, 1024), shard_rows=50).toPandas()
+    p["shard"] = p.bin_id // 2**32
+    cost = lambda c: packing.OVERHEAD + c + c * c / packing.ATTENTION
+    for _, g in p.groupby("shard"):
+        items = sorted(g.length.tolist(), reverse=True)
+        best = None
+        for top in (64, 256, 1024):
+            sizes = [c for c in (64, 256, 1024) if c <= top]
+            if items[0] > top:
+                continue
+            bins, rest = [], sum(items)
+            for x in items:
+                fit = [b for b in bins if b[0] - b[1] >= x]
+                if fit:
+                    min(fit, key=lambda b: b[0] - b[1])[1] += x
+                else:
+                    bins.append([min((c for c in sizes if c >= x), key=lambda c: cost(c) / min(c, rest)), x])
+                rest -= x
+            total = sum(cost(min(c for c in (64, 256, 1024) if c >= used)) for _, used in bins)
+            best = total if best is None else min(best, total)
+        assert g.drop_duplicates("bin_id").capacity.map(cost).sum() == pytest.approx(best)
+
+
+def test_packing_is_near_the_optimum():
+    """Of all partitions of few items, the cheapest; best-fit is never below it and never far above."""
+
+    def partitions(items):
+        if not items:
+            yield []
+            return
+        for rest in partitions(items[1:]):
+            yield [[items[0]], *rest]
+            for k in range(len(rest)):
+                yield rest[:k] + [[items[0], *rest[k]]] + rest[k + 1 :]
+
+    rng, caps = random.Random(6), (100, 200, 400)
+    least = lambda n: packing.cost(min(c for c in caps if c >= n))
+    for _ in range(40):
+        items = sorted((rng.randint(1, 300) for _ in range(rng.randint(1, 6))), reverse=True)
+        optimum = min(sum(least(sum(b)) for b in part) for part in partitions(items) if all(sum(b) <= caps[-1] for b in part))
+        got = sum(map(packing.cost, packing.pack_lengths(items, caps)[2]))
+        assert optimum - 1e-6 <= got <= 1.35 * optimum
+
+
 def test_packing(spark, small, odd, none):
     for docs in (small["documents"], odd):
-        want = sorted((r.doc_id is None, r.doc_id or 0, len((r.text or "").encode()) + 1) for r in docs.collect())
+        size = n_tokens()
+        want = sorted((r.doc_id is None, r.doc_id or 0, size(r.text) + 1) for r in docs.collect())
         p = packing.pack(docs, shard_rows=64).toPandas()
         assert p.length.sum() == sum(w[2] for w in want)
         for _, g in p.groupby("bin_id"):
@@ -410,20 +472,58 @@ def test_language_limit_is_unmoved_by_junk(spark, larger):
     assert mixed.limit == pytest.approx(clean.limit, abs=0.05)
 
 
-def test_neighbours(spark, small):
-    e = small["embeddings"].toPandas()
-    x = np.stack(e.embedding.to_numpy()).astype(float)
-    ids = e.vec_id.to_numpy()
-    got = vptree.nearest(small["embeddings"], shard_rows=128).toPandas()
+def recall(frame, got, every=20):
+    """Share of the true 20 nearest that were found, by inner products of all pairs; every answer's ranks and scores are checked on the way."""
+    x = np.stack(frame.embedding.to_numpy()).astype(float)
+    ids = frame.vec_id.to_numpy()
+    at = {v: k for k, v in enumerate(ids)}
     hits = total = 0
-    for i in np.flatnonzero(ids % 20 == 0):
+    for i in np.flatnonzero(ids % every == 0):
         s = x @ x[i]
         order = [j for j in np.lexsort((ids, -s)) if j != i][:20]
         mine = got[got.query_id == ids[i]].sort_values("rank")
-        assert mine["rank"].tolist() == list(range(1, len(order) + 1))
-        assert mine.score.to_numpy() == pytest.approx(x[[np.flatnonzero(ids == v)[0] for v in mine.vec_id]] @ x[i], abs=1e-12)
+        assert mine["rank"].tolist() == list(range(1, len(order) + 1)) and mine.score.is_monotonic_decreasing
+        assert mine.score.to_numpy() == pytest.approx(x[[at[v] for v in mine.vec_id]] @ x[i], abs=1e-12)
         hits, total = hits + len(set(mine.vec_id) & set(ids[order])), total + len(order)
-    assert hits / total >= 0.9
+    return hits / total
+
+
+def test_neighbours(small):
+    e = small["embeddings"].toPandas()
+    assert recall(e, vptree.nearest(small["embeddings"], shard_rows=128).toPandas()) >= 0.9
+    assert recall(e, vptree.nearest(small["embeddings"], factor=1.0, shard_rows=64, block_rows=7).toPandas()) == 1.0
+
+
+def test_neighbours_of_many_lengths(spark):
+    """Inner products of vectors of unlike norms, with many copies of one."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(900, 6)) * rng.lognormal(0, 1, (900, 1))
+    x[300:600] = x[0]
+    frame = pd.DataFrame({"vec_id": np.arange(900), "embedding": list(x)})
+    got = vptree.nearest(spark.createDataFrame([(int(i), v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), factor=1.0, shard_rows=100).toPandas()
+    for i in range(0, 900, 20):
+        s = vptree.exact_scores(x, np.repeat(x[i : i + 1], 900, 0))
+        want = [j for j in np.lexsort((np.arange(900), -s)) if j != i][:20]
+        assert got[got.query_id == i].sort_values("rank").vec_id.tolist() == want
+    assert len(frame) == 900
+
+
+def test_trees_prune():
+    """Scanned share and recall on clustered vectors; factor one is exact and prunes too, and a larger factor scans less."""
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 32))
+    x = centres[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 32)) * 0.15
+    top = np.sqrt((x * x).sum(1)).max()
+    tree, q = vptree.Tree(vptree.lift(x, top)), x[::40]
+    true = [set(np.argsort(-(x @ v), kind="stable")[:20]) for v in q]
+    shares = []
+    for factor in (1.0, vptree.FACTOR, 2.0):
+        row, point, scanned = vptree.search(tree, vptree.lift_queries(q), 20, factor)
+        found = [set(point[row == k]) for k in range(len(q))]
+        shares.append(scanned / (len(q) * len(x)))
+        hit = np.mean([len(f & t) / 20 for f, t in zip(found, true)])
+        assert hit == 1.0 if factor == 1.0 else hit >= 0.9
+    assert shares[2] < 0.5 < shares[1] < 0.75 < shares[0] < 0.95, shares
 
 
 def test_neighbours_odd(spark):

@@ -4,7 +4,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from conftest import SMALL
-from test_operators import brute_components, brute_runs
+from test_operators import brute_components, brute_runs, n_tokens
 
 from millrace.llm import langid, qualitycrf
 
@@ -59,7 +59,8 @@ def test_near_dedup(kept):
 
 def test_packing_holds_everything(kept):
     p = kept["best_fit_packing"].toPandas()
-    text = {r.doc_id: len(r.text.encode()) + 1 for r in kept["minhash_near_dedup"].collect()}
+    size = n_tokens()
+    text = {r.doc_id: size(r.text) + 1 for r in kept["minhash_near_dedup"].collect()}
     assert p.groupby("doc_id").length.sum().to_dict() == text
     assert (p.groupby("bin_id").length.sum() <= p.groupby("bin_id").capacity.max()).all()
     assert np.all(p.capacity.isin([1024, 2048, 4096, 8192, 16384]))
