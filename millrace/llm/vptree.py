@@ -32,7 +32,7 @@ from millrace.session import ship_package
 
 K, EVERY = 20, 20
 #: How much pruning is relaxed; README and the tests give recall and the share of points that is scanned.
-FACTOR = 1.5
+FACTOR = 1.15
 #: Distinct vectors of a shard and of a leaf, most shards (beyond them shards grow), queries of a task, vectors of the first tree's sample.
 SHARD_ROWS, LEAF, MOST_SHARDS, BLOCK_ROWS, SAMPLE = 8192, 64, 4096, 4096, 20_000
 #: Vantage points tried at each split, and such of the first tree as bound whole shards.
@@ -85,20 +85,24 @@ class Tree:
 
     def leaf_of(self, x: np.ndarray) -> np.ndarray:
         """The leaf that each vector falls into by the borders alone."""
-        d = angles(x, self.points[np.array(self.vantage, np.int64)]) if self.vantage else np.zeros((len(x), 0))
-        out = np.zeros(len(x), np.int64)
+        return fall(self.root, angles(x, self.points[np.array(self.vantage, np.int64)]) if self.vantage else np.zeros((len(x), 0)))
 
-        def down(node, rows: np.ndarray) -> None:
-            if isinstance(node, int):
-                out[rows] = node
-                return
-            j, border, near, far = node
-            inside = d[rows, j] <= border
-            down(near, rows[inside])
-            down(far, rows[~inside])
 
-        down(self.root, np.arange(len(x)))
-        return out
+def fall(root, d: np.ndarray) -> np.ndarray:
+    """The leaf of each row of angles to a tree's vantage points."""
+    out = np.zeros(len(d), np.int64)
+
+    def down(node, rows: np.ndarray) -> None:
+        if isinstance(node, int):
+            out[rows] = node
+            return
+        j, border, near, far = node
+        inside = d[rows, j] <= border
+        down(near, rows[inside])
+        down(far, rows[~inside])
+
+    down(root, np.arange(len(d)))
+    return out
 
 
 def search(tree: Tree, q: np.ndarray, k: int, factor: float, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
@@ -126,8 +130,8 @@ def search(tree: Tree, q: np.ndarray, k: int, factor: float, least: np.ndarray |
             row, col = np.nonzero(s >= kth[who, None] - 1e-12)
             pairs.append((who[row], at[col], s[row, col]))
             both = np.concatenate((top[who], s), axis=1)
-            top[who] = -np.sort(-np.partition(-both, k - 1, axis=1)[:, :k], axis=1)
-            kth[who] = np.maximum(kth[who], top[who, -1])
+            top[who] = -np.partition(-both, k - 1, axis=1)[:, :k]
+            kth[who] = np.maximum(kth[who], top[who].min(1))
     if not pairs:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), scanned
     row, point, s = (np.concatenate(x) for x in zip(*pairs))
@@ -155,39 +159,42 @@ def lift_queries(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Shard:
-    """What is stored of a shard: its tree, the vectors as they came, and the ids of each."""
+    """What is stored of a shard: its tree, the vectors as they came, and their ids, those of a vector one behind the other."""
 
     tree: Tree
     x: np.ndarray
-    ids: list[np.ndarray]
+    ids: np.ndarray
+    begin: np.ndarray  # of each vector's ids, and the end of all
 
 
 @dataclass
 class Routes:
-    """The first tree: which shard a vector belongs to."""
+    """The first tree, without its sample: which shard a vector belongs to. At most MOST_SHARDS vantage points."""
 
-    tree: Tree
-    vantage: np.ndarray
+    root: object
+    all_vantage: np.ndarray
     most: float
 
+    @property
+    def vantage(self) -> np.ndarray:
+        return self.all_vantage[:ROUTE_POINTS]
+
     def shard_of(self, x: np.ndarray) -> np.ndarray:
-        return self.tree.leaf_of(x)
+        return fall(self.root, angles(x, self.all_vantage))
 
 
 def grow_routes(sample: np.ndarray, most: float, shards: int) -> Routes:
     tree = Tree(lift(sample, most), max(1, -(-len(sample) // shards)))
-    v = tree.points[np.array(tree.vantage[:ROUTE_POINTS], np.int64)]
-    return Routes(tree, v, most)
+    return Routes(tree.root, tree.points[np.array(tree.vantage, np.int64)], most)
 
 
 def search_shard(shard: Shard, qids: np.ndarray, q: np.ndarray, k: int, factor: float, least: np.ndarray) -> pd.DataFrame:
     """query_id, vec_id, score of the shard's k best candidates of each query, not counting those of the query's own id."""
     norm = np.sqrt((q * q).sum(1))
     row, point, scanned = search(shard.tree, lift_queries(q), k + 1, factor, least)
-    sizes = np.array([len(i) for i in shard.ids], np.int64)
-    take = sizes[point]
-    found = np.concatenate([shard.ids[p] for p in point]) if len(point) else np.zeros(0, np.int64)
-    row, point = np.repeat(row, take), np.repeat(point, take)
+    take = np.diff(shard.begin)[point]
+    at = np.arange(take.sum()) + np.repeat(shard.begin[:-1][point] - (np.cumsum(take) - take), take)
+    row, point, found = np.repeat(row, take), np.repeat(point, take), shard.ids[at]
     other = found != qids[row]
     row, point, found = row[other], point[other], found[other]
     score = exact_scores(shard.x[point], q[row])
@@ -260,7 +267,8 @@ def _trees(points: DataFrame, routes: Routes) -> DataFrame:
         x = np.stack(f["x"].to_numpy())
         long = lift(x, routes.most)
         d = angles(long, routes.vantage) if len(routes.vantage) else np.zeros((len(x), 0))
-        made = Shard(Tree(long), x, [np.array(i, np.int64) for i in f["ids"]])
+        begin = np.concatenate(([0], np.cumsum([len(i) for i in f["ids"]])))
+        made = Shard(Tree(long), x, np.concatenate(f["ids"].to_numpy()).astype(np.int64), begin)
         return pd.DataFrame({"shard": f["shard"].iloc[:1], "tree": [pickle.dumps(made)], "lo": [d.min(0)], "hi": [d.max(0)]})
 
     dealt = points.mapInPandas(route, "x array<double>, ids array<long>, shard int")

@@ -146,7 +146,7 @@ def searched(ids, x, qids, q, k, factor):
     points, at = np.unique(x, axis=0, return_inverse=True)
     of = [np.sort(ids[at == k]) for k in range(len(points))]
     top = np.sqrt((points * points).sum(1)).max() * (1 + 1e-12)
-    shard = vptree.Shard(vptree.Tree(vptree.lift(points, top)), points, of)
+    shard = vptree.Shard(vptree.Tree(vptree.lift(points, top)), points, np.concatenate(of), np.concatenate(([0], np.cumsum([len(i) for i in of]))))
     out = vptree.search_shard(shard, qids, q, k, factor, np.full(len(q), -2.0))
     return out.query_id.to_numpy(), out.vec_id.to_numpy(), out.score.to_numpy()
 
