@@ -98,12 +98,16 @@ def booking_time_slots(ctx: BuildContext, silver: Tables) -> DataFrame:
 
 
 def meeting_load_by_employee(ctx: BuildContext, silver: Tables) -> DataFrame:
-    h = silver["fct_booking_host"]
-    by = h.groupBy("host_user_uri").agg(
-        F.max("host_name").alias("host_name"), F.max("host_email").alias("host_email"), F.count("*").alias("total_meetings"), F.count_distinct("meeting_date_est").alias("days_with_meetings"),
-        F.count_distinct(week_start("meeting_date_est")).alias("active_weeks"), F.min("meeting_date_est").alias("first_meeting_date"), F.max("meeting_date_est").alias("last_meeting_date"),
+    # by host and week first, then by host: each distinct count is a plain one, and no row is expanded for it
+    h = silver["fct_booking_host"].groupBy("host_user_uri", "meeting_date_est").agg(F.max("host_name").alias("host_name"), F.max("host_email").alias("host_email"), F.count("*").alias("n"))
+    week = h.groupBy("host_user_uri", week_start("meeting_date_est").alias("week")).agg(
+        F.max("host_name").alias("host_name"), F.max("host_email").alias("host_email"), F.sum("n").alias("n"), F.count("meeting_date_est").alias("days"), F.min("meeting_date_est").alias("first"), F.max("meeting_date_est").alias("last"),
     )
-    rows = by.crossJoin(h.agg(F.min("meeting_date_est").alias("lo"), F.max("meeting_date_est").alias("hi")))
+    by = week.groupBy("host_user_uri").agg(
+        F.max("host_name").alias("host_name"), F.max("host_email").alias("host_email"), F.sum("n").alias("total_meetings"), F.sum("days").alias("days_with_meetings"),
+        F.count("week").alias("active_weeks"), F.min("first").alias("first_meeting_date"), F.max("last").alias("last_meeting_date"),
+    )
+    rows = by.crossJoin(by.agg(F.min("first_meeting_date").alias("lo"), F.max("last_meeting_date").alias("hi")))
     rows = rows.withColumn("tenure", greatest_strict(F.lit(1.0), F.datediff("hi", "first_meeting_date") / 7.0)).withColumn("window", F.datediff("hi", "lo") / 7.0)
     pace = ratio("total_meetings", "tenure")
     return _dated(

@@ -12,8 +12,8 @@ WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 CHANNEL_LABELS = {"facebook_paid_ads": "Facebook", "youtube_paid_ads": "YouTube", "tiktok_paid_ads": "TikTok", "other": "Other / organic"}
 
 
-def _read(spark: SparkSession, name: str, where: str | Column | None, order_by: list[str | Column] | str | Column | None, limit: int | None) -> DataFrame:
-    df = spark.table(name)
+def pick(df: DataFrame, where: str | Column | None = None, order_by: list[str | Column] | str | Column | None = None, limit: int | None = None) -> DataFrame:
+    """Rows of a served table: filtered, ordered with nulls last ("column DESC" for descending), limited."""
     if where is not None:
         df = df.where(where)
     if order_by is not None:
@@ -23,11 +23,11 @@ def _read(spark: SparkSession, name: str, where: str | Column | None, order_by:
 
 
 def gold(spark: SparkSession, mart: str, where=None, order_by=None, limit: int | None = None) -> DataFrame:
-    return _read(spark, f"gold.{mart}", where, order_by, limit)
+    return pick(spark.table(f"gold.{mart}"), where, order_by, limit)
 
 
 def silver(spark: SparkSession, table: str, where=None, order_by=None, limit: int | None = None) -> DataFrame:
-    return _read(spark, f"silver.{table}", where, order_by, limit)
+    return pick(spark.table(f"silver.{table}"), where, order_by, limit)
 
 
 def channel_label(c: str | Column) -> Column:

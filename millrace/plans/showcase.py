@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.dialect import asc, desc, hour_of, iso_dow, json_fields, known_zone, latest_by, local_date, local_ts, norm_email, not_blank, ratio, ratio_to, round_to
-from millrace.operators import gold
+from millrace.functions.dialect import asc, desc, first_match, hour_of, iso_dow, json_fields, known_zone, latest_by, local_date, local_ts, norm_email, not_blank, ratio, ratio_to, round_to, stem
+from millrace.operators import gold, silver
+from millrace.plans import serve
 from millrace.operators.silver import BuildContext
 from millrace.sources import landing
 from millrace.streaming import alerts
@@ -54,7 +55,7 @@ def email_normalize(spark, d):
 @query("""SELECT page_id, nullif(regexp_extract(url, '/([^/?#]+)([?#].*)?$', 1), '') AS stem, nullif(regexp_extract(url, '/([^/]+)\\.json$', 1), '') AS json_stem FROM pages""")
 def url_stem(spark, d):
     p = table(spark, d, "pages")
-    return p.select("page_id", F.nullif(F.regexp_extract("url", r"/([^/?#]+)([?#].*)?$", 1), F.lit("")).alias("stem"), F.nullif(F.regexp_extract("url", r"/([^/]+)\.json$", 1), F.lit("")).alias("json_stem"))
+    return p.select("page_id", first_match("url", r"/([^/?#]+)([?#].*)?$").alias("stem"), stem("url").alias("json_stem"))
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_totalprice END AS open_price, o_totalprice >= 100000 AS is_large, nullif(o_orderpriority, '5-LOW') AS urgent, coalesce(nullif(o_orderpriority, '5-LOW'), 'other') AS channel,
@@ -292,13 +293,13 @@ def prior_touch_funnel(spark, d):
 
 
 @query("""WITH b AS (SELECT event_id AS uri, ts AS created, user_id FROM events WHERE event_type = 'purchase'), v AS (SELECT user_id, ts, CAST(round(value * 100) AS BIGINT) AS pv FROM events WHERE event_type = 'view'),
-t AS (SELECT uri, count(*) AS sessions, sum(pv) AS s, max(pv) AS max_pv FROM b JOIN v ON b.user_id = v.user_id AND v.ts < created AND v.ts >= created - INTERVAL 7 DAY GROUP BY 1) SELECT uri, sessions, CAST(s // sessions AS BIGINT) AS mean_pv, max_pv FROM t""")
+t AS (SELECT uri, count(*) AS sessions, sum(pv) AS s, max(pv) AS max_pv FROM b JOIN v ON b.user_id = v.user_id AND v.ts < created AND v.ts >= created - INTERVAL 7 DAY GROUP BY 1) SELECT uri, sessions, CAST(s AS DOUBLE) / sessions AS mean_pv, max_pv FROM t""")
 def temporal_range_join(spark, d):
-    """Each purchase with the views of the seven days before it: an equi-join with a range residual, then one row a purchase."""
+    """Each purchase with the views of the seven days before it, by the join that the funnel mart makes."""
     e = table(spark, d, "events")
-    v = e.where("event_type = 'view'").select("user_id", F.col("ts").alias("seen"), F.round(F.col("value") * 100).cast("long").alias("pv"))
-    hit = e.where("event_type = 'purchase'").select(F.col("event_id").alias("uri"), "ts", "user_id").join(v, "user_id").where("seen < ts and seen >= ts - interval 7 days")
-    return hit.groupBy("uri").agg(F.count("*").alias("sessions"), F.sum("pv").alias("s"), F.max("pv").alias("max_pv")).select("uri", "sessions", F.expr("s div sessions").alias("mean_pv"), "max_pv")
+    seen = e.where("event_type = 'view'").select(F.col("user_id").alias("email_normalized"), F.col("ts").alias("received_at_utc"), F.round(F.col("value") * 100).cast("long").alias("percent_viewed"))
+    bought = e.where("event_type = 'purchase'").select(F.col("event_id").alias("scheduled_event_uri"), F.col("ts").alias("created_at_utc"), F.col("user_id").alias("email_normalized"))
+    return gold.prior_touch(bought, seen, 7).select(F.col("scheduled_event_uri").alias("uri"), "sessions", F.col("avg_pv").alias("mean_pv"), F.col("max_pv").alias("max_pv"))
 
 
 # ---- view-level aggregation, sorting, set operations --------------------------------------------------------------------
@@ -307,8 +308,6 @@ def temporal_range_join(spark, d):
 @query(f"""WITH {_CPB}, a AS (SELECT channel, sum(bookings) AS n, sum(CASE WHEN NOT is_spend_data_missing THEN spend END) AS s, count(*) AS obs, count(*) FILTER (is_spend_data_missing) AS lost FROM c GROUP BY channel)
 SELECT CAST(sum(n) AS BIGINT) AS bookings, round(sum(s) / nullif(sum(n), 0) * 100.0, 0) / 100.0 AS blended_cpb, round(CAST(sum(obs - lost) FILTER (s IS NOT NULL) AS DOUBLE) / nullif(sum(obs) FILTER (s IS NOT NULL), 0) * 10000.0, 0) / 10000.0 AS spend_coverage FROM a""")
 def dashboard_overview(spark, d):
-    from millrace.plans import serve
-
     cpb = gold.cpb_by_channel(CTX, {"fct_booking": bookings(spark, d), "fct_spend": spend(spark, d)})
     out = serve.overview(gold.channel_attribution(CTX, {}, cpb))
     return out.select("bookings", round_to("blended_cpb", 2).alias("blended_cpb"), round_to("spend_coverage", 4).alias("spend_coverage"))
@@ -316,7 +315,7 @@ def dashboard_overview(spark, d):
 
 @query("SELECT o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderstatus = 'O' ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 10")
 def serving_top_n(spark, d):
-    top = table(spark, d, "orders").where("o_orderstatus = 'O'").orderBy(desc("o_totalprice"), asc("o_orderkey")).limit(10)
+    top = serve.pick(table(spark, d, "orders"), "o_orderstatus = 'O'", ["o_totalprice DESC", "o_orderkey"], 10)
     return top.select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("day"))
 
 
@@ -341,10 +340,78 @@ def manifest_missing(spark, d):
     return landing.still_missing(ids, ids.where("asof % 3 <> 0")).select(F.col("asof").alias("doc_id"))
 
 
-@query("""SELECT CAST(ts AS DATE) AS asof, count(*) AS row_count, min(event_type) AS first_channel, max(event_type) AS last_channel, count(DISTINCT user_id) AS users, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS channels FROM events GROUP BY 1""")
+@query("""SELECT strftime(ts, '%Y-%m') AS asof, count(*) AS row_count, strftime(min(ts), '%Y-%m-%d') AS date_min, strftime(max(ts), '%Y-%m-%d') AS date_max, count(DISTINCT CAST(ts AS DATE)) AS distinct_dates, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS channels
+FROM events GROUP BY 1""")
 def file_profile(spark, d):
-    by = table(spark, d, "events").groupBy(F.to_date("ts").alias("asof"))
-    return by.agg(F.count("*").alias("row_count"), F.min("event_type").alias("first_channel"), F.max("event_type").alias("last_channel"), F.count_distinct("user_id").alias("users"), F.array_join(F.array_sort(F.collect_set("event_type")), ",").alias("channels"))
+    """A file a month of the events, as JSON arrays; what the manifest records of each."""
+    row = F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.col("event_type").alias("channel"))
+    files = table(spark, d, "events").groupBy(F.date_format("ts", "yyyy-MM").alias("asof")).agg(F.to_json(F.collect_list(row)).alias("content"))
+    return landing.profile(files.withColumn("filename", F.col("asof"))).drop("filename")
+
+
+@query("""SELECT event_id, 'crm/events/dt=' || strftime(ts, '%Y-%m-%d') || '/crm_event_' || event_id || '.json' AS key, 200 AS status FROM events WHERE event_id % 7 <> 0
+UNION ALL SELECT event_id, NULL, 400 FROM events WHERE event_id % 7 = 0""")
+def webhook_keys(spark, d):
+    """Landing keys of CRM webhook bodies; each seventh lacks its date and is refused."""
+    e = table(spark, d, "events")
+    at = F.when(F.col("event_id") % 7 != 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    body = F.to_json(F.struct(F.struct(F.col("event_id").cast("string").alias("id"), at.alias("date_created")).alias("event")))
+    return landing.crm_events(e.select("event_id", body.alias("body"))).select("event_id", "key", F.col("status_code").alias("status"))
+
+
+@query("SELECT count(*) AS events, count(*) FILTER (event_type = 'purchase') AS identified, CAST(count(*) FILTER (event_type = 'purchase') AS DOUBLE) / nullif(count(*), 0) AS identification_rate FROM events")
+def identification_rate(spark, d):
+    mail = F.when(F.col("event_type") == "purchase", "a@x").otherwise(" ")
+    return landing.identification(table(spark, d, "events").select(mail.alias("email")))
+
+
+# ---- Silver tables from JSON lines made of the star tables -------------------------------------------------------------
+
+
+def lines(df: DataFrame, *also: str, **fields) -> DataFrame:
+    """Bronze lines: raw, and the columns named."""
+    return df.select(F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])).alias("raw"), *also)
+
+
+@query("""WITH r AS (SELECT CAST(l_shipdate AS DATE) AS day, l_returnflag AS channel, l_extendedprice AS spend, strftime(CAST(l_shipdate AS DATE) + l_linenumber, '%Y-%m-%d') AS published FROM lineitem)
+SELECT day AS spend_date, channel, spend, channel <> 'R' AS is_paid_channel, published AS sourced_from_asof, n AS source_file_count FROM (
+SELECT *, row_number() OVER (PARTITION BY day, channel ORDER BY published DESC, spend DESC) AS rn, count(*) OVER (PARTITION BY day, channel) AS n FROM r) WHERE rn = 1""")
+def silver_fct_spend(spark, d):
+    li = table(spark, d, "lineitem").withColumn("asof", F.date_add(F.to_date("l_shipdate"), F.col("l_linenumber")).cast("string"))
+    feed = lines(li, "asof", date=F.to_date("l_shipdate").cast("string"), channel=F.col("l_returnflag"), spend=F.col("l_extendedprice"))
+    seed = spark.createDataFrame([('{"event_type": "a", "channel": "R", "is_paid": false}',), ('{"event_type": "b", "channel": "R", "is_paid": false}',)], "raw string")
+    return silver.fct_spend(CTX, {"calendly_spend": feed, "seed_channel_map": seed}).drop("build_date")
+
+
+@query("""WITH r AS (SELECT event_type, CAST(ts AS DATE) AS day, CAST(ts AS DATE) + CAST(event_id % 3 AS INTEGER) AS dt, user_id % 4 AS loads, event_id % 5 AS plays, value FROM events)
+SELECT event_type AS hashed_id, day AS stat_date, loads AS load_count, plays AS play_count, value AS hours_watched, loads = 0 AND plays = 0 AS is_zero_activity_day FROM (
+SELECT *, row_number() OVER (PARTITION BY event_type, day ORDER BY dt DESC, loads DESC, plays DESC, CAST(value AS VARCHAR) DESC) AS rn FROM r) WHERE rn = 1""")
+def silver_fct_media_daily_stats(spark, d):
+    e = table(spark, d, "events").withColumn("dt", F.date_add(F.to_date("ts"), (F.col("event_id") % 3).cast("int")).cast("string")).withColumn("source_path", F.concat(F.lit("/feed/"), "event_type", F.lit(".json")))
+    feed = lines(e, "dt", "source_path", date=F.to_date("ts").cast("string"), load_count=F.col("user_id") % 4, play_count=F.col("event_id") % 5, hours_watched=F.col("value").cast("string"))
+    return silver.fct_media_daily_stats(CTX, {"wistia_media_stats": feed}).drop("build_date")
+
+
+_STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
+@query("""SELECT CAST(user_id AS VARCHAR) AS visitor_key, 'u' || user_id || '@x.com' AS email_normalized, bool_or(event_type = 'purchase') AS is_identified, CAST(min(ts) AS DATE) AS first_seen, CAST(max(ts) AS DATE) AS last_seen
+FROM events GROUP BY user_id HAVING bool_or(event_type = 'purchase') UNION ALL
+SELECT CAST(user_id AS VARCHAR), NULL, false, CAST(min(ts) AS DATE), CAST(max(ts) AS DATE) FROM events GROUP BY user_id HAVING NOT bool_or(event_type = 'purchase')""")
+def silver_dim_visitor(spark, d):
+    """An address once given survives later anonymous visits."""
+    mail = F.when(F.col("event_type") == "purchase", F.concat(F.lit(" U"), F.col("user_id").cast("string"), F.lit("@X.com\t")))
+    feed = lines(table(spark, d, "events"), visitor_key=F.col("user_id").cast("string"), received_at=F.date_format("ts", _STAMP), email=mail)
+    out = silver.dim_visitor(CTX, {"wistia_visitor_event": feed})
+    return out.select("visitor_key", "email_normalized", "is_identified", F.to_date("first_seen_at").alias("first_seen"), F.to_date("last_seen_at").alias("last_seen"))
+
+
+@query("""SELECT CAST(event_id AS VARCHAR) AS event_key, event_type AS hashed_id, CAST(timezone('America/New_York', ts AT TIME ZONE 'UTC') AS DATE) AS event_date_est, value AS percent_viewed, value >= 0.25 AS watched_quarter, value >= 0.5 AS watched_half FROM events""")
+def silver_fct_visitor_event(spark, d):
+    """Each session lands twice, on its day and on the next; one row stays."""
+    e = table(spark, d, "events").withColumn("dt", F.explode(F.transform(F.array(F.lit(0), F.lit(1)), lambda k: F.date_add(F.to_date("ts"), k).cast("string"))))
+    feed = lines(e, "dt", event_key=F.col("event_id").cast("string"), media_id=F.col("event_type"), received_at=F.date_format("ts", _STAMP), percent_viewed=F.col("value").cast("string"))
+    return silver.fct_visitor_event(CTX, {"wistia_visitor_event": feed}).select("event_key", "hashed_id", "event_date_est", "percent_viewed", "watched_quarter", "watched_half")
 
 
 @query("""SELECT event_id, timezone('America/New_York', ts AT TIME ZONE 'UTC') AS local_ts, CAST(timezone('America/New_York', ts AT TIME ZONE 'UTC') AS DATE) AS local_date, CAST(date_trunc('week', ts) AS DATE) AS week, isodow(ts) AS dow, hour(ts) AS hour FROM events""")
