@@ -1,7 +1,9 @@
 """Each operator's query against brute force on whole small tables, and every awkward case on a table of its own."""
 
 import random
+import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import langid, linededup, neardup, packing, pieces, qualitycrf, qualityrules, queries, tokencounts, toxicity, training, vptree
 from millrace.llm.components import components
+from millrace.llm.textblock import TextBlock
 
 ODD = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string, d string, component_id string, capacity string, held_out string, `k0` string"
 
@@ -242,6 +245,85 @@ def test_quality_rules(larger, odd, none):
     assert qualityrules.judge(none).count() == 0 and qualityrules.judge(odd).count() == odd.count()
 
 
+def brute_rules(rows, least=qualityrules.MIN_DOCS):
+    """doc_id -> (kept, character distance, word distance), by dictionaries and one document after the other."""
+    q = qualityrules
+    words = lambda t: re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+
+    def order(w):
+        block = TextBlock(pa.array([w], pa.large_string()))
+        return int(block.span_hash(block.off[:1], block.off[1:]).view(np.int64)[0])
+
+    def top(group):
+        df = Counter(w for _, _, t in group for w in set(words(t)))
+        return sorted(df, key=lambda w: (-df[w], order(w)))[: q.N_COMMON]
+
+    def chars(t):
+        named = q._CLASSES[:10]
+        sets = ["".join(map(chr, range(ord(c[0]), ord(c[2]) + 1))) if len(c) == 3 and c[1] == "-" else c for c in named]
+        return Counter(next((i for i, s in enumerate(sets) if c in s), 10 if c < "\x80" else 11) for c in t or "")
+
+    def distance(p, q):
+        a, b = sum(p.values()), sum(q.values())
+        if not a or not b:
+            return 0.0
+        p, q = ({k: v / s for k, v in x.items()} for x, s in ((p, a), (q, b)))
+        half = lambda x: sum(v * np.log2(v / ((p.get(k, 0) + q.get(k, 0)) / 2)) for k, v in x.items() if v)
+        return max(0.0, (half(p) + half(q)) / 2) ** 0.5
+
+    size = Counter(lang for _, lang, _ in rows)
+    group = {i: lang if lang is not None and size[lang] >= least else None for i, lang, _ in rows}
+    common = {g: top([r for r in rows if g is None or r[1] == g]) for g in {*group.values(), None}}
+    ch = {i: chars(t) for i, _, t in rows}
+    hist = lambda t, g: Counter(w if w in common[g] else None for w in words(t))
+    wd = {i: hist(t, group[i]) for i, _, t in rows}
+    add = lambda many: sum(many, Counter())
+    base = {i: len(words(t)) < 20 or 100 * q.measure(pa.array([t], pa.large_string()))[4][0] > 30 * len(words(t)) for i, _, t in rows}
+
+    def refs(ids):
+        made = {}
+        for g in {group[i] for i in ids} - {None}:
+            mine = [i for i in ids if group[i] == g]
+            made[g] = (len(mine), add(ch[i] for i in mine), add(wd[i] for i in mine))
+        return made, add(ch[i] for i in ids)
+
+    ids = [i for i, _, _ in rows]
+    pooled = add(hist(t, None) for _, _, t in rows)
+    ref, every = refs(ids)
+    first = {i: distance(ch[i], ref[group[i]][1] if group[i] in ref else every) for i in ids}
+    again, every = refs([i for i in ids if not base[i] and first[i] <= q.TRIM])
+    ref |= {g: x for g, x in again.items() if x[0] >= least}
+    out = {}
+    for i, _, t in rows:
+        _, c, w = ref.get(group[i], (0, every, pooled))
+        dc, dw, n, m = distance(ch[i], c), distance(wd[i], w), len(t or ""), sum(wd[i].values())
+        far = n >= q.MIN_CHARS and dc > q.CHAR_LIMIT + q.CHAR_WIDEN / n**0.5 or m >= q.MIN_WORDS and dw > q.WORD_LIMIT + q.WORD_WIDEN / m**0.5
+        out[i] = (not base[i] and not far, dc, dw)
+    return out
+
+
+def test_quality_rules_against_brute_force(spark, larger):
+    """Languages of their own, one with too few documents, one whose documents are all far from each other, and none."""
+    rows = [(r.doc_id, r.lang, r.text) for r in larger["documents"].limit(500).collect()]
+    rows = [(i, "xx" if i % 50 == 0 else None if i % 11 == 0 else lang, t) for i, lang, t in rows]
+    rows += [(10_000 + k, "yy", chr(97 + k % 5) * 300 + " 12345 " * (k * 7)) for k in range(30)] + [(11_000, "en", None), (11_001, "en", "")]
+    got = {r.doc_id: (r.kept, r.char_distance, r.word_distance) for r in qualityrules.judge(spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)).collect()}
+    want = brute_rules(rows)
+    assert got.keys() == want.keys() and {x[0] for x in got.values()} == {True, False}
+    for i, (kept, dc, dw) in want.items():
+        assert got[i][0] == kept and got[i][1:] == pytest.approx((dc, dw), abs=1e-9), i
+
+
+def test_quality_rules_many_languages(spark, monkeypatch):
+    """Every language has references of its own, however many there are, and whether their table is broadcast or not."""
+    rows = [(k, f"l{k % 250}", " ".join(f"w{k % 250}_{(k // 250 + j) % 70}" for j in range(60))) for k in range(250 * 20)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    kept = lambda: {r.doc_id: (r.kept, r.word_distance) for r in qualityrules.judge(docs).collect()}
+    wide = kept()
+    monkeypatch.setattr(qualityrules, "BROADCAST_ROWS", 0)
+    assert kept() == wide and len(wide) == 5000 and all(d < 0.5 for _, d in wide.values())
+
+
 def test_quality_rules_drop_junk(spark):
     """Of labelled documents that the base rules leave: word lists and the like go, clean ones stay."""
     docs, labels = (spark.read.parquet(f"{SMALL.replace('0.001', '0.1')}/{t}.parquet") for t in ("documents", "labels"))
