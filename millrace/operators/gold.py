@@ -139,9 +139,14 @@ def media_engagement(ctx: BuildContext, silver: Tables) -> DataFrame:
 def prior_touch(bookers: DataFrame, visits: DataFrame, days: int) -> DataFrame:
     """One row a booking that has earlier sessions of the same e-mail within the window: sessions, their mean and highest percentage.
 
-    The range condition is a residual of an equi-join; where a busy e-mail matters, AQE splits it. The join is made once for both uses."""
+    The join is on e-mail and a stretch of time a little longer than the window; a booking is looked up in its own stretch and the one before,
+    so that a busy e-mail's rows meet only those near them. What is left of the range condition is a residual. The join is made once for both uses."""
+    stretch = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / ((days + 1) * 86_400))
+    own = stretch("created_at_utc")
+    asked = bookers.where("email_normalized is not null").withColumn("stretch", F.explode(F.array(own, own - 1)))
+    seen = visits.select("email_normalized", "received_at_utc", "percent_viewed", stretch("received_at_utc").alias("stretch"))
     when = (F.col("received_at_utc") < F.col("created_at_utc")) & (F.col("received_at_utc") >= F.col("created_at_utc") - F.expr(f"interval {days} days"))
-    hit = bookers.where("email_normalized is not null").join(visits.select("email_normalized", "received_at_utc", "percent_viewed"), "email_normalized").where(when)
+    hit = asked.join(seen, ["email_normalized", "stretch"]).where(when)
     return hit.groupBy("scheduled_event_uri").agg(F.count("*").alias("sessions"), F.avg("percent_viewed").alias("avg_pv"), F.max("percent_viewed").alias("max_pv"))
 
 
