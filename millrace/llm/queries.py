@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import langid, linededup, neardup, packing, pieces, qualitycrf, qualityrules, tokencounts, toxicity, vptree
+from millrace.llm import bytebpe, langid, linededup, neardup, packing, phrases, pieces, qualitycrf, qualityrules, tokencounts, toxicity, veccodes, vptree
 from millrace.llm.runtime import table
 
 
@@ -51,6 +51,18 @@ def op10_toxic_span_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_apriori_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.top(table(spark, sf_dir, "documents"))
+
+
+def op12_interval_screened_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return veccodes.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_two_tier_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.digest(table(spark, sf_dir, "documents"))
+
+
 #: Exact Jaccard links over inverted shingles, then the least reachable id.
 OP9_SQL = r"""
 WITH RECURSIVE w AS (
@@ -88,6 +100,47 @@ SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(
 FROM documents d LEFT JOIN z ON z.doc_id = d.doc_id
 """
 
+#: All phrases of up to five words counted, every cut scored, and whatever a longer phrase explains taken out.
+OP11_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM t),
+s AS (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM p CROSS JOIN (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k),
+g AS (SELECT lang, CAST(k AS BIGINT) AS k, array_to_string(ws[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM s GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM p GROUP BY 1),
+c AS (SELECT * FROM g WHERE k >= 2 AND NOT EXISTS (
+  SELECT 1 FROM g b WHERE b.lang = g.lang AND b.k > g.k AND 100 * b.f >= 100 * g.f AND contains(' ' || b.phrase || ' ', ' ' || g.phrase || ' '))),
+u AS (SELECT *, string_split(phrase, ' ') AS ws, unnest(range(1, k)) AS j FROM c),
+x AS (
+  SELECT u.lang, u.phrase, u.f AS a, j, l.f AS l, r.f AS r, n.n, CAST((CAST(1000 AS HUGEINT) * u.f * n.n) // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM u JOIN n ON n.lang = u.lang JOIN g l ON l.lang = u.lang AND l.phrase = array_to_string(ws[1:j], ' ') JOIN g r ON r.lang = u.lang AND r.phrase = array_to_string(ws[j + 1:], ' ')),
+y AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS w FROM x),
+z AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM y WHERE w = 1)
+SELECT * FROM z WHERE rank <= 2000
+"""
+
+
+def _op12_sql(parts: int = veccodes.PARTS, rounds: int = veccodes.ROUNDS) -> str:
+    """Plain integer arithmetic over (row, part, place) triples, round after round. The row number tells repeated rows apart."""
+    out = [
+        f"""WITH e AS MATERIALIZED (SELECT row_number() OVER () AS i, vec_id, label, embedding AS x FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v) OR abs(v) >= 8796093022208)) = 0),
+d AS (SELECT len(x) AS d FROM e GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+k AS MATERIALIZED (SELECT e.*, d // {parts} AS w FROM e JOIN d ON len(x) = d),
+v AS MATERIALIZED (SELECT i, (j - 1) // w AS p, (j - 1) % w AS q, CAST(floor(CAST(x[j] AS DOUBLE) * 1024) AS BIGINT) AS v FROM (SELECT i, x, w, unnest(range(1, len(x) + 1)) AS j FROM k)),
+s AS (SELECT i, row_number() OVER (ORDER BY vec_id) - 1 AS c FROM (SELECT vec_id, arg_min(i, x) AS i FROM k WHERE vec_id IS NOT NULL GROUP BY 1 ORDER BY 1 LIMIT 256)),
+b0 AS MATERIALIZED (SELECT c, p, q, v FROM s JOIN v USING (i))"""
+    ]
+    for r in range(rounds + 1):
+        out.append(f"a{r} AS MATERIALIZED (SELECT i, p, min(t.d) AS d, arg_min(c, (t.d, c)) AS c FROM (SELECT i, p, c, sum((v.v - b.v) * (v.v - b.v)) AS d FROM v JOIN b{r} b USING (p, q) GROUP BY 1, 2, 3) t GROUP BY 1, 2)")
+        if r < rounds:
+            out.append(f"m{r} AS (SELECT c, p, q, CAST((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS v FROM a{r} JOIN v USING (i, p) GROUP BY 1, 2, 3)")
+            out.append(f"b{r + 1} AS MATERIALIZED (SELECT c, p, q, coalesce(m{r}.v, b{r}.v) AS v FROM b{r} LEFT JOIN m{r} USING (c, p, q))")
+    last = f"a{rounds}"
+    out.append(f"h AS (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY p, c, q)) AS h FROM b{rounds})")
+    out.append(f"f AS (SELECT vec_id, label, code, error FROM k JOIN (SELECT i, string_agg(printf('%02x', c), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM {last} GROUP BY 1) USING (i))")
+    return ",\n".join(out) + "\nSELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM f CROSS JOIN h"
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -101,6 +154,9 @@ QUERIES = {
         op8_sentencepiece_viterbi,
         op9_minhash_near_dedup,
         op10_toxic_span_crf,
+        op11_apriori_collocations,
+        op12_interval_screened_codes,
+        op13_two_tier_byte_bpe,
     )
 }
-SQL = {"op1_line_run_dedup": OP1_SQL, "op9_minhash_near_dedup": OP9_SQL}
+SQL = {"op1_line_run_dedup": OP1_SQL, "op9_minhash_near_dedup": OP9_SQL, "op11_apriori_collocations": OP11_SQL, "op12_interval_screened_codes": _op12_sql()}
