@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.runtime import cut, spread
+from millrace.llm.runtime import cut, free_name, spread
 
 MIN_CHARS = 50
 _LAST = 2**63 - 1
@@ -102,16 +102,17 @@ def _double(ranks: DataFrame, step: int) -> DataFrame:
     return pairs.join(spread(heads, "head"), by).select("d", "i", "p", F.col("head.d").alias("hd"), F.col("head.p").alias("hp"))
 
 
-def _with_kept(docs: DataFrame, min_chars: int) -> DataFrame:
-    """docs with __lines (all lines) and __gone (array of deleted runs, in order; null if none)."""
+def _with_kept(docs: DataFrame, min_chars: int) -> tuple[DataFrame, str]:
+    """docs with the deleted runs of each row, in order, null if none, and the name of that column."""
     repeat = _may_repeat(docs)
-    gone = repeated_runs(docs, repeat, min_chars).groupBy("d").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("__gone")).withColumnRenamed("d", "__d")
-    return docs.withColumn("__key", _key(repeat)).join(gone, F.col("__key") == F.col("__d"), "left")
+    key, gone = (free_name(docs, n) for n in ("__key", "__gone"))
+    runs = repeated_runs(docs, repeat, min_chars).groupBy(F.col("d").alias(key)).agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias(gone))
+    return docs.withColumn(key, _key(repeat)).join(runs, key, "left"), gone
 
 
-def _rest() -> F.Column:
+def _rest(gone: str) -> F.Column:
     """The text without the deleted runs: the slices between them."""
-    lines, gone = _lines(), F.col("__gone")
+    lines, gone = _lines(), F.col(gone)
     after = F.transform(gone, lambda g, i: F.struct((g["hi"] + 2).alias("from"), F.coalesce(F.get(gone, i + 1)["lo"], F.size(lines)).alias("to")))
     spans = F.concat(F.array(F.struct(F.lit(1).alias("from"), gone[0]["lo"].alias("to"))), after)
     kept = F.flatten(F.transform(spans, lambda s: F.slice(lines, s["from"], F.greatest(s["to"] - s["from"] + 1, F.lit(0)))))
@@ -121,18 +122,18 @@ def _rest() -> F.Column:
 def remove_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """docs, all columns, with text less its later copies of repeated runs; a text of nothing else becomes empty."""
     names = docs.columns
-    found = _with_kept(docs, min_chars)
-    return found.select(*[_rest().alias("text") if c == "text" else F.col(c) for c in names])
+    found, gone = _with_kept(docs, min_chars)
+    return found.select(*[_rest(gone).alias("text") if c == "text" else F.col(c) for c in names])
 
 
 def digest(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """doc_id, n_lines, n_deleted, n_runs (maximal deleted runs) and text_md5 of what is left."""
-    found = _with_kept(docs.select("doc_id", "text"), min_chars)
-    size = F.aggregate("__gone", F.lit(0), lambda s, g: s + g["hi"] - g["lo"] + 1)
+    found, gone = _with_kept(docs.select("doc_id", "text"), min_chars)
+    size = F.aggregate(gone, F.lit(0), lambda s, g: s + g["hi"] - g["lo"] + 1)
     return found.select(
         "doc_id",
         F.when(F.col("text").isNull(), 0).otherwise(F.size(_lines())).cast("long").alias("n_lines"),
         F.coalesce(size, F.lit(0)).cast("long").alias("n_deleted"),
-        F.coalesce(F.when(F.col("__gone").isNotNull(), F.size("__gone")), F.lit(0)).cast("long").alias("n_runs"),
-        F.md5(_rest()).alias("text_md5"),
+        F.coalesce(F.when(F.col(gone).isNotNull(), F.size(gone)), F.lit(0)).cast("long").alias("n_runs"),
+        F.md5(_rest(gone)).alias("text_md5"),
     )

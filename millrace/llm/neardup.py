@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm.components import components
-from millrace.llm.runtime import cut, map_blocks, spread
+from millrace.llm.runtime import cut, free_name, map_blocks, spread
 from millrace.llm.textblock import STEPS, TextBlock, U, distinct_pairs, mix, shingles
 
 BANDS, ROWS = 25, 5
@@ -224,7 +224,23 @@ def _block_links(pdf: pd.DataFrame, size: int, percent: int, reach: float) -> pd
     return pd.DataFrame({"u": np.array(u, rep.dtype), "v": np.array(v, rep.dtype)})
 
 
+def _names(docs: DataFrame) -> F.Column:
+    """A name for every text of every doc_id that sorts by doc_id, those without one last, then by two hashes of the text."""
+    by_id = F.when(F.col("doc_id").isNull(), "~").otherwise(F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(F.lit(-(2**63)))), 16, "0"))
+    return F.concat_ws("-", by_id, F.hex(F.xxhash64("text")), F.hex(F.xxhash64(F.lit(7), "text")))
+
+
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows, with all their columns, of each group's least doc_id and of documents linked with none."""
-    kept = link(docs, size, percent).where("kept").select(F.col("doc_id").alias("__keep")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__keep"]), "left_semi")
+    """The rows, with all their columns, of each group's least doc_id and of documents linked with none.
+
+    Where several rows have a doc_id, or any has none, every text of a doc_id is a document of its own, and of rows that are alike in both one
+    stays. Rows without words are linked with nothing, so all of them stay."""
+    ids = docs.groupBy("doc_id").count()
+    name, worded = (free_name(docs, n) for n in ("name", "worded"))
+    if ids.where("doc_id is null or count > 1").isEmpty():
+        kept = link(docs, size, percent).where("kept").select(F.col("doc_id").alias(name)).distinct()
+        return docs.join(kept, docs["doc_id"] == kept[name], "left_semi")
+    rows = docs.withColumn(name, _names(docs))
+    kept = link(rows.select(F.col(name).alias("doc_id"), "text"), size, percent).where("kept")
+    both = rows.join(kept.select(F.col("doc_id").alias(name), (F.col("n_shingles") > 0).alias(worded)).distinct(), name)
+    return both.where(worded).dropDuplicates([name]).unionByName(both.where(~F.col(worded))).select(*docs.columns)

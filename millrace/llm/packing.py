@@ -18,7 +18,8 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -100,13 +101,13 @@ def pack(docs: DataFrame, capacities: tuple[int, ...] = CAPACITIES, shard_rows:
     shards = max(1, -(-found.count() // shard_rows))
     dealt = found.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece", "length", "copy"), F.lit(shards)))
 
-    def one(key, pdf):
-        pdf = pdf.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
-        bins, offsets, final = pack_lengths(pdf["length"].tolist(), capacities)
+    def one(key, rows):
+        rows = rows.take(pc.sort_indices(rows, [("length", "descending"), ("doc_id", "ascending"), ("piece", "ascending")]))
+        bins, offsets, final = pack_lengths(rows["length"].to_pylist(), capacities)
         bins = np.array(bins, np.int64)
-        return pd.DataFrame(
-            {"doc_id": pdf["doc_id"].to_numpy(), "piece": pdf["piece"].to_numpy(), "start": pdf["start"].to_numpy(), "length": pdf["length"].to_numpy(), "bin_id": bins + (int(key[0]) << 32), "bin_offset": offsets, "capacity": np.array(final, np.int64)[bins]}
-        )
+        made = [pa.array(bins + (key[0].as_py() << 32)), pa.array(offsets, pa.int64()), pa.array(np.array(final, np.int64)[bins])]
+        # ids stay in Arrow: a null would turn a column of them into floats elsewhere
+        return pa.table([rows[c] for c in ("doc_id", "piece", "start", "length")] + made, ["doc_id", "piece", "start", "length", "bin_id", "bin_offset", "capacity"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return dealt.groupBy("shard").applyInPandas(one, f"doc_id {kind}, piece int, start long, length long, bin_id long, bin_offset long, capacity long")
+    return dealt.groupBy("shard").applyInArrow(one, f"doc_id {kind}, piece int, start long, length long, bin_id long, bin_offset long, capacity long")

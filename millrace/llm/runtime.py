@@ -32,11 +32,20 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise in the shared checkpoint folder and cut lineage; Spark removes the files once they're out of use."""
+    """Materialise in the shared checkpoint folder and cut lineage. The files go with the table's last use in sessions that set
+    spark.cleaner.referenceTracking.cleanCheckpoints, as millrace.session does."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint()
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table lacks, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a table that we wrote, through Spark's own file systems."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

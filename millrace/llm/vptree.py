@@ -8,7 +8,7 @@ the leaf can come. Leaves are taken in order of their bounds. One is skipped if
 k-th best so far: factor 1 is exact search, a larger one skips more.
 
 Distinct vectors are dealt to shards by a first tree, grown on a bounded sample of them, so that a shard holds near ones and can be
-skipped as a whole by the same rule; every vector is indexed. Each shard's tree is built once and stored. A query searches its nearest
+skipped as a whole by the same rule; every vector is indexed. A leaf of that tree that is larger than a shard is dealt to several by hash. Each shard's tree is built once and stored. A query searches its nearest
 shard, then, knowing its k-th best, those other shards that the rule leaves. Vectors are moved once, trees go only where queries are.
 
 Cases: null or zero vectors, and such as hold null or non-finite components or differ in dimension from most, take no part, as
@@ -33,7 +33,7 @@ from millrace.session import ship_package
 K, EVERY = 20, 20
 #: How much pruning is relaxed; README and the tests give recall and the share of points that is scanned.
 FACTOR = 1.15
-#: Distinct vectors of a shard and of a leaf, most shards (beyond them shards grow), queries of a task, vectors of the first tree's sample.
+#: Distinct vectors of a shard and of a leaf, leaves of the first tree (beyond them a leaf is dealt to several shards), queries of a task, vectors of the first tree's sample.
 SHARD_ROWS, LEAF, MOST_SHARDS, BLOCK_ROWS, SAMPLE = 8192, 64, 4096, 4096, 20_000
 #: Vantage points tried at each split, and such of the first tree as bound whole shards.
 TRIED, ROUTE_POINTS = 6, 64
@@ -105,9 +105,9 @@ def fall(root, d: np.ndarray) -> np.ndarray:
     return out
 
 
-def search(tree: Tree, q: np.ndarray, k: int, factor: float, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+def search(tree: Tree, q: np.ndarray, k: int, factor: float, least: np.ndarray | None = None, names: np.ndarray | None = None, own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """(query number, point) pairs that hold the k best points of each unit query, as far as the factor lets them be found and they are no worse
-    than ``least`` (cosines), ties included; and the number of points scanned."""
+    than ``least`` (cosines), ties included; and the number of points scanned. Points whose name is the query's own are passed over."""
     n = len(q)
     kth = np.full(n, -2.0) if least is None else least.copy()
     top = np.full((n, k), -2.0)
@@ -127,6 +127,8 @@ def search(tree: Tree, q: np.ndarray, k: int, factor: float, least: np.ndarray |
             who, at = live[rows], tree.leaves[leaf[rows[0]]]
             s = q[who] @ tree.points[at].T
             scanned += s.size
+            if names is not None:
+                s[names[at][None, :] == own[who][:, None]] = -3.0
             row, col = np.nonzero(s >= kth[who, None] - 1e-12)
             pairs.append((who[row], at[col], s[row, col]))
             both = np.concatenate((top[who], s), axis=1)
@@ -166,6 +168,13 @@ class Shard:
     ids: np.ndarray
     begin: np.ndarray  # of each vector's ids, and the end of all
 
+    def names(self) -> np.ndarray:
+        """The number, in ascending ids, of the only id that a vector has; -1 if it has several, so that one is left for any query."""
+        known = np.unique(self.ids)
+        place = np.searchsorted(known, self.ids)
+        lo, hi = np.minimum.reduceat(place, self.begin[:-1]), np.maximum.reduceat(place, self.begin[:-1])
+        return np.where(lo == hi, lo, -1)
+
 
 @dataclass
 class Routes:
@@ -191,7 +200,10 @@ def grow_routes(sample: np.ndarray, most: float, shards: int) -> Routes:
 def search_shard(shard: Shard, qids: np.ndarray, q: np.ndarray, k: int, factor: float, least: np.ndarray) -> pd.DataFrame:
     """query_id, vec_id, score of the shard's k best candidates of each query, not counting those of the query's own id."""
     norm = np.sqrt((q * q).sum(1))
-    row, point, scanned = search(shard.tree, lift_queries(q), k + 1, factor, least)
+    known = np.unique(shard.ids)
+    own = np.searchsorted(known, qids)
+    own = np.where(known[np.minimum(own, len(known) - 1)] == qids, own, -2)
+    row, point, _ = search(shard.tree, lift_queries(q), k, factor, least, shard.names(), own)
     take = np.diff(shard.begin)[point]
     at = np.arange(take.sum()) + np.repeat(shard.begin[:-1][point] - (np.cumsum(take) - take), take)
     row, point, found = np.repeat(row, take), np.repeat(point, take), shard.ids[at]
@@ -233,8 +245,10 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, factor: float =
     n, top = points.agg(F.count("*"), F.max(square)).first()
     shards = max(1, min(MOST_SHARDS, -(-n // shard_rows)))
     routes = _routes(points, n, float(np.sqrt(top)) * (1.0 + 1e-12), shards)
-    trees = cut(_trees(points, routes))
-    bounds = {r["shard"]: (r["lo"], r["hi"]) for r in trees.select("shard", "lo", "hi").collect()}  # MOST_SHARDS * ROUTE_POINTS numbers at most
+    trees = cut(_trees(points, routes, shard_rows))
+    each = lambda f, c: F.array(*[f(F.col(c)[j]) for j in range(len(routes.vantage))]).alias(c)
+    boxes = trees.groupBy("shard").agg(each(F.min, "lo"), each(F.max, "hi")).collect()  # MOST_SHARDS * ROUTE_POINTS numbers at most
+    bounds = {r["shard"]: (r["lo"], r["hi"]) for r in boxes}
     queries = x.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("x").alias("x"))
     first = cut(_search(trees, _home(queries, routes, sorted(bounds)), k, factor, block_rows))
     kth = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -255,8 +269,8 @@ def _routes(points: DataFrame, n: int, most: float, shards: int) -> Routes:
     return grow_routes(np.array([r["x"] for r in rows]), most, shards)
 
 
-def _trees(points: DataFrame, routes: Routes) -> DataFrame:
-    """shard, tree (its pickled Shard), lo and hi (its angles from the first tree's vantage points)."""
+def _trees(points: DataFrame, routes: Routes, shard_rows: int) -> DataFrame:
+    """shard, sub (of a leaf dealt to several), tree (its pickled Shard), lo and hi (its angles from the first tree's vantage points)."""
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -269,10 +283,13 @@ def _trees(points: DataFrame, routes: Routes) -> DataFrame:
         d = angles(long, routes.vantage) if len(routes.vantage) else np.zeros((len(x), 0))
         begin = np.concatenate(([0], np.cumsum([len(i) for i in f["ids"]])))
         made = Shard(Tree(long), x, np.concatenate(f["ids"].to_numpy()).astype(np.int64), begin)
-        return pd.DataFrame({"shard": f["shard"].iloc[:1], "tree": [pickle.dumps(made)], "lo": [d.min(0)], "hi": [d.max(0)]})
+        return pd.DataFrame({"shard": f["shard"].iloc[:1], "sub": f["sub"].iloc[:1], "tree": [pickle.dumps(made)], "lo": [d.min(0)], "hi": [d.max(0)]})
 
     dealt = points.mapInPandas(route, "x array<double>, ids array<long>, shard int")
-    return dealt.groupBy("shard").applyInPandas(build, "shard int, tree binary, lo array<double>, hi array<double>")
+    # a leaf holds about shard_rows unless there are more leaves than the first tree may have
+    sizes = dealt.groupBy("shard").agg(F.ceil(F.count("*") / (4 * shard_rows)).cast("int").alias("subs"))
+    dealt = dealt.join(F.broadcast(sizes), "shard").withColumn("sub", F.pmod(F.xxhash64("x"), F.col("subs")).cast("int")).drop("subs")  # MOST_SHARDS rows at most
+    return dealt.groupBy("shard", "sub").applyInPandas(build, "shard int, sub int, tree binary, lo array<double>, hi array<double>")
 
 
 def _home(queries: DataFrame, routes: Routes, there: list[int]) -> DataFrame:
@@ -313,8 +330,8 @@ def _search(trees: DataFrame, asked: DataFrame, k: int, factor: float, block_row
     asked = cut(asked)
     blocks = F.ceil(F.count("*") / block_rows).cast("int")
     parts = asked.groupBy("shard").agg(blocks.alias("parts"))
-    sent = trees.select("shard", "tree").join(parts, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    asked = asked.join(parts, "shard").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+    sent = trees.select("shard", "sub", "tree").join(parts, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    asked = asked.join(parts, "shard").join(trees.select("shard", (F.col("sub") + 0).alias("sub")), "shard").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
 
     def one(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
@@ -323,4 +340,5 @@ def _search(trees: DataFrame, asked: DataFrame, k: int, factor: float, block_row
         return search_shard(pickle.loads(left["tree"].iloc[0]), right["vec_id"].to_numpy(), np.stack(right["x"].to_numpy()), k, factor, right["least"].to_numpy())
 
     schema = "query_id long, vec_id long, score double, norm double"
-    return sent.select("shard", "block", "tree").groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(one, schema)
+    by = ["shard", "sub", "block"]
+    return sent.select(*by, "tree").groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(one, schema)
