@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import langid, linededup, neardup, packing, qualitycrf
-from millrace.llm.runtime import checkpoint_root, remove, table
+from millrace.llm.runtime import checkpoint_root, cut, remove, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as Parquet in the shared folder and read again; a stage's table goes once the next one's is written."""
+    """All stages over documents, each written as Parquet in the shared folder and read again; a stage's table goes once the next one's is written, and the last one's input once that is cut."""
     docs, before = table(spark, sf_dir, "documents"), None
     root = f"{checkpoint_root(spark)}/corpus-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
@@ -57,4 +57,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if before is not None:
             remove(spark, before)
         before = f"{root}/{name}"
-    return STAGES[-1][1](spark, docs, sf_dir)
+    out = cut(STAGES[-1][1](spark, docs, sf_dir))  # where pieces go, without texts
+    remove(spark, before)
+    return out

@@ -8,7 +8,7 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
-#: Zone-less timestamps mean UTC everywhere, partition values stay strings, and AQE re-plans joins and skew at run time.
+#: Zone-less timestamps mean UTC everywhere, partition values stay strings, AQE re-plans joins and skew at run time, and checkpoints go when out of use.
 SEMANTICS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -17,6 +17,7 @@ SEMANTICS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -37,7 +38,8 @@ def local_session(cores: int | None = None, app: str = "millrace", memory: str =
 def apply_semantics(spark: SparkSession) -> SparkSession:
     """Set the runtime-settable part of SEMANTICS on a session made elsewhere."""
     for key, value in SEMANTICS.items():
-        spark.conf.set(key, value)
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 
