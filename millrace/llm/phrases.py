@@ -12,11 +12,11 @@ repeated rows count each; an empty table gives an empty table; extra columns pas
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,32 +73,34 @@ class Known:
         return self.hashes[at] == h
 
 
-def count_block(texts: list[bytes], lang: str, known: list[Known]) -> tuple[list[bytes], list[int]]:
+def count_block(texts: list[bytes], lang: str, known: list[Known]) -> tuple[pa.Array, pa.Array]:
     """(phrase, count) of the grams one word longer than the last known level, as far as both subgrams may be frequent. With no level known:
     all words, and their total under the empty phrase."""
-    words = tokens(texts)
+    all_words = tokens(texts)
+    coded = pa.array(all_words, pa.binary()).dictionary_encode()
+    words, code = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    stop = pc.index(words, pa.scalar(_BREAK)).as_py()
     if not known:
-        found = Counter(words)
-        found.pop(_BREAK, None)
-        return [b"", *found], [found.total(), *found.values()]
-    number = {w: k for k, w in enumerate(dict.fromkeys(words))}
-    code = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-    hashes = word_hashes(list(number), lang)
+        n = np.bincount(code, minlength=len(words))
+        some = np.flatnonzero(np.arange(len(words)) != stop)
+        return pa.concat_arrays([pa.array([b""]), words.take(some)]), pa.array(np.append(n[some].sum(), n[some]))
+    at = np.empty(len(words), np.int64)
+    at[code] = np.arange(len(code))
+    hashes = word_hashes([all_words[i] for i in at.tolist()], lang)
     good = known[0].has(hashes)
-    if _BREAK in number:
-        good[number[_BREAK]] = False
-    gram = np.where(good, np.arange(len(good)), -1)[code]
-    hashed = hashes[code]
+    if stop >= 0:
+        good[stop] = False
+    gram, hashed = np.where(good, np.arange(len(good)), -1)[code], hashes[code]
     for size in range(2, len(known) + 2):
         both = np.flatnonzero((gram[:-1] >= 0) & (gram[1:] >= 0))
+        if size <= len(known):
+            both = both[known[size - 1].has(gram_hashes(hashed, both, size))]
         _, first, same, n = np.unique(gram[both] << 32 | gram[both + 1], return_index=True, return_inverse=True, return_counts=True)
-        start = both[first]
-        if size > len(known):
-            return [b" ".join(words[s : s + size]) for s in start.tolist()], n.tolist()
-        good = known[size - 1].has(gram_hashes(hashed, start, size))
-        gram = np.full(len(words), -1)
-        gram[both] = np.where(good, np.arange(len(good)), -1)[same]
-    raise AssertionError("not reached")
+        gram = np.full(len(code), -1)
+        gram[both] = same
+    start = both[first]
+    phrase = pc.binary_join_element_wise(*[words.take(code[start + k]) for k in range(size)], b" ")
+    return phrase, pa.array(n)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -118,7 +120,7 @@ def _level(texts: DataFrame, known: list) -> DataFrame:
                     by.setdefault(lang, []).append(t)
                 for lang, some in by.items():
                     phrase, n = count_block(some, lang, tables)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(phrase), pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], ["lang", "phrase", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang), len(phrase)), phrase.cast(pa.string()), n], ["lang", "phrase", "n"])
 
     return texts.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 
