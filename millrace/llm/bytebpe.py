@@ -19,6 +19,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,8 @@ from millrace.session import ship_package
 
 #: Keys that share a displacement, on average; merged pre-tokens, and their longest, that a worker remembers until it forgets all.
 BUCKET, REMEMBERED, SHORT = 2, 1 << 18, 64
+#: Bytes of text encoded together, and lists of ids decoded together.
+BLOCK, ROWS = 4 << 20, 256
 _MIX, _STEP = 0xFF51AFD7ED558CCD, 0x9E3779B97F4A7C15
 _ALL = (1 << 64) - 1
 
@@ -93,7 +96,9 @@ class Vocabulary:
         pairs = [(base64.b64decode(a), int(b)) for a, b in (line.split() for line in ranks.splitlines() if line)]
         self.words, self.rank = [w for w, _ in pairs], [r for _, r in pairs]
         self.hash = PerfectHash(self.words)
-        self.bytes_of = dict(zip(self.rank, self.words))
+        order = np.argsort(np.array(self.rank, np.int64))
+        self.ranks = np.array(self.rank, np.int64)[order]
+        self.entries = pa.array(self.words, pa.large_binary()).take(order)
         self.split = regex.compile(pattern).findall
         self.memory: dict[bytes, list[int]] = {}
         known = dict(pairs)
@@ -102,28 +107,30 @@ class Vocabulary:
         self.union = {(known[w[:i]] << 32) | known[w[i:]]: r for w, r in pairs for i in range(1, len(w)) if w[:i] in known and w[i:] in known}
 
     def merge(self, word: bytes) -> list[int]:
-        """Ranks of a byte string that isn't in the vocabulary as a whole. A heap entry is rank * n + place; one that no longer fits is passed over."""
+        """Ranks of a byte string that isn't in the vocabulary as a whole. A heap entry is the rank of a union and its place; one that no longer fits is passed over."""
         n, union = len(word), self.union.get
         part = [self.byte[b] for b in word]
         if None in part:
             raise ValueError(f"the vocabulary lacks a byte of {word[:99]!r}")
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [r * n + i for i in range(n - 1) if (r := union(part[i] << 32 | part[i + 1])) is not None]
+        part.append(-1)  # stands before the first and behind the last
+        before, after, bits = list(range(-1, n)), list(range(1, n + 1)), n.bit_length()
+        heap = [u << bits | i for i in range(n - 1) if (u := union(part[i] << 32 | part[i + 1])) is not None]
         heapify(heap)
+        place = (1 << bits) - 1
         while heap:
-            r, i = divmod(heappop(heap), n)
+            top = heappop(heap)
+            i, r = top & place, top >> bits
             j = after[i]
-            if part[i] < 0 or j < 0 or union(part[i] << 32 | part[j]) != r:
+            if union(part[i] << 32 | part[j]) != r or part[i] < 0:
                 continue
             part[i], part[j] = r, -1
             after[i] = k = after[j]
-            if k >= 0:
-                before[k] = i
-                if (u := union(r << 32 | part[k])) is not None:
-                    heappush(heap, u * n + i)
+            before[k] = i
+            if (u := union(r << 32 | part[k])) is not None:
+                heappush(heap, u << bits | i)
             h = before[i]
-            if h >= 0 and (u := union(part[h] << 32 | r)) is not None:
-                heappush(heap, u * n + h)
+            if (u := union(part[h] << 32 | r)) is not None:
+                heappush(heap, u << bits | h)
         return [p for p in part if p >= 0]
 
     def merged(self, word: bytes) -> list[int]:
@@ -159,8 +166,20 @@ class Vocabulary:
             out.append(flat[np.arange(total) + np.repeat(begin[code] - (np.cumsum(take) - take), take)])
         return out
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+    def decode(self, ids: pa.Array) -> pa.Array:
+        """The bytes of each list of ids; null for a null list. All entries are laid end to end by one gather, and lists take their stretches of that."""
+        lists = ids.cast(pa.large_list(pa.int64()))
+        begin = np.frombuffer(lists.buffers()[1], np.int64)[lists.offset : lists.offset + len(lists) + 1]
+        flat = lists.values.slice(begin[0], begin[-1] - begin[0])
+        if flat.null_count:
+            raise ValueError("a null id")
+        at = np.searchsorted(self.ranks, ids := flat.to_numpy())
+        if (bad := self.ranks[np.minimum(at, len(self.ranks) - 1)] != ids).any():
+            raise ValueError(f"unknown id {ids[bad][0]}")
+        laid = self.entries.take(pa.array(at))
+        end = np.frombuffer(laid.buffers()[1], np.int64)[laid.offset : laid.offset + len(laid) + 1]
+        made = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(end[begin - begin[0]].copy()), laid.buffers()[2]])
+        return pc.if_else(lists.is_valid(), made, None)
 
 
 _made: dict[tuple, Vocabulary] = {}
@@ -192,7 +211,7 @@ def encode(docs: DataFrame, keep: list[str] | None = None, text: str = "text", p
     """``keep`` (doc_id) and ids of every whole text."""
     shared, pattern = _shared(docs.sparkSession, path, pattern)
     run = lambda text: [_list(vocabulary(shared.value, pattern).encode(text.to_pylist()))]
-    return map_blocks(docs, run, keep or ["doc_id"], [T.StructField("ids", T.ArrayType(T.IntegerType()))], text)
+    return map_blocks(docs, run, keep or ["doc_id"], [T.StructField("ids", T.ArrayType(T.IntegerType()))], text, BLOCK)
 
 
 def decode(coded: DataFrame, keep: list[str] | None = None, ids: str = "ids", path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -207,10 +226,10 @@ def decode(coded: DataFrame, keep: list[str] | None = None, ids: str = "ids", pa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(shared.value, pattern)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):  # few at once: a list of Python integers is eight times its ids
-                part = batch.slice(lo, 256)
-                made = [None if some is None else known.decode(some) for some in part.column(len(keep)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + [pa.array(made, pa.binary())], schema.names)
+            for lo in range(0, batch.num_rows, ROWS):
+                part = batch.slice(lo, ROWS)
+                made = known.decode(part.column(len(keep))).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(keep))] + [made], schema.names)
 
     return source.mapInArrow(run, schema)
 

@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from conftest import SMALL
@@ -184,9 +185,15 @@ def test_bpe_equals_the_library(vocabulary, library):
     rng = random.Random(7)
     bits = ["a", "b", "é", "  ", "\n", "'s", "'ll", "9", "漢", "　", "<|endoftext|>", "-", "\r\n", "aaaa", "\x1c", "\x85", "😀", "́", "zq"]
     texts = ["".join(rng.choices(bits, k=rng.randint(0, 40))) for _ in range(2000)] + [chr(c) + "a" + chr(c) * 3 for c in range(0, 0x11000) if not 0xD800 <= c < 0xE000]
-    for t, ids in zip(texts, vocabulary.encode(texts)):
+    encoded = vocabulary.encode(texts)
+    for t, ids in zip(texts, encoded):
         assert ids.tolist() == library.encode_ordinary(t), t
-        assert vocabulary.decode(ids.tolist()) == t.encode()
+    lists = pa.array([None, *(i.tolist() for i in encoded), []], pa.list_(pa.int32()))
+    want = [None, *(t.encode() for t in texts), b""]
+    assert vocabulary.decode(lists).to_pylist() == want and vocabulary.decode(lists.slice(7, 30)).to_pylist() == want[7:37]
+    for bad in ([[1, None]], [[1, 60_000]], [[-1]]):
+        with pytest.raises(ValueError):
+            vocabulary.decode(pa.array(bad, pa.list_(pa.int32())))
 
 
 def test_bpe_of_long_words(vocabulary, library):
