@@ -4,6 +4,8 @@ Nulls come last in every order, ratios are divided once and null for a zero deno
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,37 +19,57 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def json_fields(df: DataFrame, paths: dict[str, tuple[str, ...]], documents: tuple[str, ...] = (), raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One parse of ``raw`` for all paths. A scalar path that holds an object or array gives null; those named in
-    ``documents`` give the JSON text. A key may contain dots, for a path is a tuple of keys."""
+def json_leaves(raw: str | Column, paths: dict[str, tuple[str, ...]], documents: tuple[str, ...] = ()) -> tuple[Column, dict[str, Column]]:
+    """(one parse of ``raw`` as a struct; how to read each path from a column ``__json`` that holds it).
+
+    A leaf is parsed as a variant, which knows a string that looks like an array from an array. A scalar path that holds an object or array gives
+    null; those named in ``documents`` give the JSON text. A key may contain dots, for a path is a tuple of keys."""
     tree: dict = {}
-    for path in paths.values():
+    for name, path in paths.items():
         node = tree
         for key in path[:-1]:
             node = node.setdefault(key, {})
-        node.setdefault(path[-1], None)
+        node.setdefault(path[-1], T.StringType() if name in documents else T.VariantType())
 
     def kind(node) -> T.DataType:
-        return T.StringType() if node is None else T.StructType([T.StructField(k, kind(v)) for k, v in node.items()])
+        return node if isinstance(node, T.DataType) else T.StructType([T.StructField(k, kind(v)) for k, v in node.items()])
 
-    parsed = F.from_json(col(raw), kind(tree))
-    out = []
+    out = {}
     for name, path in paths.items():
         leaf = F.col("__json")
         for key in path:
             leaf = leaf.getField(key)
-        out.append((leaf if name in documents else scalar(leaf)).alias(name))
-    return df.select(*keep, parsed.alias("__json")).select(*keep, *out)
+        out[name] = leaf if name in documents else scalar(leaf)
+    return F.from_json(col(raw), kind(tree)), out
+
+
+def json_fields(df: DataFrame, paths: dict[str, tuple[str, ...]], documents: tuple[str, ...] = (), raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep`` and the paths of ``raw``, parsed once a row. The parse goes through a generator, for what is filtered on a plain projection is pushed
+    below it and parsed again there, once for each path."""
+    parsed, out = json_leaves(raw, paths, documents)
+    rows = df.select(*keep, F.explode_outer(F.array(parsed)).alias("__json"))
+    return rows.select(*keep, *[c.alias(n) for n, c in out.items()])
+
+
+def scalar(leaf: Column) -> Column:
+    """A variant as text; null for objects, arrays and null."""
+    return F.when(~F.schema_of_variant(leaf).rlike("^(OBJECT|ARRAY)"), leaf.cast("string"))
 
 
-def scalar(text: Column) -> Column:
-    """Null for the text of an object or array."""
-    return F.when(~text.rlike(r"^\s*[\[{]"), text)
+def keys_of(path: str) -> tuple[str, ...]:
+    """The keys of a JSONPath such as $.a['b.c'].d."""
+    keys = tuple(a or b for a, b in re.findall(r"\.([^.\[\]]+)|\['([^']+)'\]", path))
+    if "$" + "".join(f"['{k}']" if f"['{k}']" in path else f".{k}" for k in keys) != path:
+        raise ValueError(f"not a path of keys: {path}")
+    return keys
 
 
 def json_scalar(raw: str | Column, path: str) -> Column:
-    """A scalar at a JSONPath; null for objects and arrays. Keys with dots need single-quoted brackets."""
-    return scalar(F.get_json_object(col(raw), path))
+    """A scalar at a JSONPath of keys; null for objects and arrays. For several paths of a text use json_fields, which parses once."""
+    leaf, _ = json_leaves(raw, {"v": keys_of(path)})
+    for key in keys_of(path):
+        leaf = leaf.getField(key)
+    return scalar(leaf)
 
 
 def iso_ts(c: str | Column) -> Column:

@@ -89,9 +89,8 @@ def owner_snapshot(spark: SparkSession, state_root: str, bronze_root: str) -> Ca
     """A ``before`` for build: exports the owner cache and the worklist of the alert stream to Bronze, as of the build's date; a failure aborts the build."""
 
     def export(asof: str) -> None:
-        for state, schema, feed in (("owners", alerts.OWNERS, "lead_owner"), ("awaiting", alerts.AWAITING, "awaiting_owner")):
-            rows = alerts.StateTable(spark, f"{state_root}/{state}", schema).read()
-            bronze.land(landing.export_snapshot(rows, asof), bronze_root, feed)
+        for state, feed in ((alerts.owners_of, "lead_owner"), (alerts.worklist_of, "awaiting_owner")):
+            bronze.land(landing.export_snapshot(state(spark, state_root).read(), asof), bronze_root, feed)
 
     return export
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,6 +75,47 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(at, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    at, system = _path(spark, path)
+    system.mkdirs(at)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    at, system = _path(spark, path)
+    stream = system.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file, whole, if there is none of that name; False if there is. Of two who try at once one gets False, on any file system whose
+    rename is atomic; on the local one, whose isn't exclusive, a hard link is."""
+    at, system = _path(spark, path)
+    at = system.makeQualified(at)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{at.getName()}.{uuid.uuid4().hex}")
+    out = system.create(draft, True)
+    out.write(text.encode())
+    out.close()
+    try:
+        if at.toUri().getScheme() == "file":
+            os.link(draft.toUri().getPath(), at.toUri().getPath())
+        else:
+            context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration())
+            context.rename(draft, at, spark.sparkContext._gateway.new_array(getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename"), 0))
+        return True
+    except FileExistsError:
+        return False
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        system.delete(draft, False)
+
+
 def read_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read(spark, root, name) for name in CATALOG}
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.dialect import desc, json_scalar, last_segment, latest_by, ratio
+from millrace.functions.dialect import desc, json_fields, json_leaves, keys_of, last_segment, latest_by, ratio
 from millrace.sources import keyed
 
 #: Event type -> feed, file stem, timestamps that date it, in order.
@@ -31,30 +31,38 @@ def day_of(text: Column) -> Column:
     return F.when(F.length(text) >= 10, F.substring(text, 1, 10))
 
 
+def _with_leaves(requests: DataFrame, body: str, paths: dict[str, tuple[str, ...]]) -> tuple[DataFrame, dict[str, Column]]:
+    """requests with raw and one parse of it, in ``__json``; and how to read the paths."""
+    parsed, leaves = json_leaves(body, paths)
+    return requests.withColumn("raw", F.col(body)).select("*", F.explode_outer(F.array(parsed)).alias("__json")), leaves
+
+
 def crm_events(requests: DataFrame, body: str = "body") -> DataFrame:
     """raw, dt, key and status_code of CRM webhook bodies. 400: not JSON, or no id or no date; 200: to be landed under key."""
-    raw = F.col(body)
-    ident, dt = json_scalar(raw, "$.event.id"), F.substring(F.coalesce(json_scalar(raw, "$.event.date_created"), F.lit("")), 1, 10)
-    ok = F.coalesce(F.try_parse_json(raw).isNotNull() & ident.isNotNull() & (ident != "") & (F.length(dt) == 10), F.lit(False))
-    return requests.withColumn("raw", raw).withColumn("status_code", F.when(ok, 200).otherwise(400)).withColumn("dt", F.when(ok, dt)).withColumn("key", F.when(ok, F.concat(F.lit("crm/events/dt="), dt, F.lit("/crm_event_"), ident, F.lit(".json"))))
+    rows, of = _with_leaves(requests, body, {"id": ("event", "id"), "created": ("event", "date_created")})
+    ident, dt = of["id"], F.substring(F.coalesce(of["created"], F.lit("")), 1, 10)
+    ok = F.coalesce(F.try_parse_json("raw").isNotNull() & ident.isNotNull() & (ident != "") & (F.length(dt) == 10), F.lit(False))
+    rows = rows.withColumn("status_code", F.when(ok, 200).otherwise(400)).withColumn("dt", F.when(ok, dt))
+    return rows.withColumn("key", F.when(ok, F.concat(F.lit("crm/events/dt="), dt, F.lit("/crm_event_"), ident, F.lit(".json")))).drop("__json")
 
 
 def booking_events(requests: DataFrame, body: str = "body") -> DataFrame:
     """raw, feed, dt, key and status_code of booking webhook bodies. Unknown event types are accepted and ignored: 200, without feed and key."""
-    raw = F.col(body)
-    event, uuid = json_scalar(raw, "$.event"), last_segment(json_scalar(raw, "$.payload.uri"))
+    dates = {path: keys_of(path) for _, _, paths in ROUTES.values() for path in paths}
+    rows, of = _with_leaves(requests, body, {"event": ("event",), "uri": ("payload", "uri")} | dates)
+    event, uuid = of["event"], last_segment(of["uri"])
     feed, stem, dt = (F.lit(None).cast("string") for _ in range(3))
     for name, (table, prefix, paths) in ROUTES.items():
         here = event == name
         feed, stem = F.when(here, table).otherwise(feed), F.when(here, prefix).otherwise(stem)
-        dt = F.when(here, F.coalesce(*[day_of(json_scalar(raw, p)) for p in paths])).otherwise(dt)
+        dt = F.when(here, F.coalesce(*[day_of(of[p]) for p in paths])).otherwise(dt)
     known = event.isin(*ROUTES)
     ok = F.coalesce(known & uuid.isNotNull() & dt.isNotNull(), F.lit(False))
-    ignored = F.coalesce(F.try_parse_json(raw).isNotNull() & event.isNotNull() & ~known, F.lit(False))
+    ignored = F.coalesce(F.try_parse_json("raw").isNotNull() & event.isNotNull() & ~known, F.lit(False))
     path = F.when(feed == "calendly_booking", "calendly/bookings").otherwise("calendly/cancellations")
     return (
-        requests.withColumn("raw", raw).withColumn("status_code", F.when(ok | ignored, 200).otherwise(400)).withColumn("feed", F.when(ok, feed)).withColumn("dt", F.when(ok, dt))
-        .withColumn("key", F.when(ok, F.concat(path, F.lit("/dt="), dt, F.lit("/"), stem, F.lit("_"), uuid, F.lit(".json"))))
+        rows.withColumn("status_code", F.when(ok | ignored, 200).otherwise(400)).withColumn("feed", F.when(ok, feed)).withColumn("dt", F.when(ok, dt))
+        .withColumn("key", F.when(ok, F.concat(path, F.lit("/dt="), dt, F.lit("/"), stem, F.lit("_"), uuid, F.lit(".json")))).drop("__json")
     )
 
 
@@ -113,7 +121,7 @@ def demux(files: DataFrame) -> DataFrame:
 
 def profile(files: DataFrame) -> DataFrame:
     """Row and date coverage of each file, so that zero can be told from missing."""
-    rows = demux(files).select("asof", "filename", json_scalar("raw", "$.date").alias("d"), json_scalar("raw", "$.channel").alias("c"))
+    rows = json_fields(demux(files), {"d": ("date",), "c": ("channel",)}, keep=("asof", "filename"))
     some = lambda c: F.nullif(F.col(c), F.lit(""))
     return rows.groupBy("asof", "filename").agg(F.count("*").alias("row_count"), F.min(some("d")).alias("date_min"), F.max(some("d")).alias("date_max"), F.count_distinct(some("d")).alias("distinct_dates"), F.array_join(F.array_sort(F.collect_set(some("c"))), ",").alias("channels"))
 
@@ -211,8 +219,8 @@ def flatten_typed(raw: str | Column, columns: dict[str, str]) -> list[Column]:
 
 def owner_rows(owner_json: DataFrame, cached_at: int) -> DataFrame:
     """Owner cache rows from lookup answers (lead_id, raw): blanks are left out, and an absent answer is never cached."""
-    fields = [F.nullif(json_scalar("raw", f"$.{f}"), F.lit("")).alias(f) for f in OWNER_FIELDS]
-    return owner_json.where("raw is not null").select("lead_id", *fields, F.lit(cached_at).cast("long").alias("cached_at"))
+    rows = json_fields(owner_json.where("raw is not null"), {f: (f,) for f in OWNER_FIELDS}, keep=("lead_id",))
+    return rows.select("lead_id", *[F.nullif(f, F.lit("")).alias(f) for f in OWNER_FIELDS], F.lit(cached_at).cast("long").alias("cached_at"))
 
 
 def synthetic_events(spark: SparkSession, n: int, repeat: int = 1, start: str = "2025-05-20 12:00:00") -> DataFrame:

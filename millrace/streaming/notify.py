@@ -28,7 +28,7 @@ def post(url: str | None, text: str) -> str:
 
 
 def sender(url: str | None) -> Callable[[DataFrame], DataFrame]:
-    """A ``send`` for alerts.process: executors post, one failure doesn't keep the others from being sent."""
+    """A ``send`` for alerts.announce: executors post, one failure doesn't keep the others from being sent."""
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
