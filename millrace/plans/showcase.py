@@ -340,12 +340,12 @@ def manifest_missing(spark, d):
     return landing.still_missing(ids, ids.where("asof % 3 <> 0")).select(F.col("asof").alias("doc_id"))
 
 
-@query("""SELECT strftime(ts, '%Y-%m') AS asof, count(*) AS row_count, strftime(min(ts), '%Y-%m-%d') AS date_min, strftime(max(ts), '%Y-%m-%d') AS date_max, count(DISTINCT CAST(ts AS DATE)) AS distinct_dates, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS channels
+@query("""SELECT CAST(event_id // 1000 AS VARCHAR) AS asof, count(*) AS row_count, strftime(min(ts), '%Y-%m-%d') AS date_min, strftime(max(ts), '%Y-%m-%d') AS date_max, count(DISTINCT CAST(ts AS DATE)) AS distinct_dates, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS channels
 FROM events GROUP BY 1""")
 def file_profile(spark, d):
-    """A file a month of the events, as JSON arrays; what the manifest records of each."""
+    """Files of a thousand events, as JSON arrays; what the manifest records of each."""
     row = F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), F.col("event_type").alias("channel"))
-    files = table(spark, d, "events").groupBy(F.date_format("ts", "yyyy-MM").alias("asof")).agg(F.to_json(F.collect_list(row)).alias("content"))
+    files = table(spark, d, "events").groupBy(F.floor(F.col("event_id") / 1000).cast("string").alias("asof")).agg(F.to_json(F.collect_list(row)).alias("content"))
     return landing.profile(files.withColumn("filename", F.col("asof"))).drop("filename")
 
 

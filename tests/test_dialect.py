@@ -1,8 +1,13 @@
 import datetime as dt
 
+import pytest
+from feeds import crm
+
 from pyspark.sql import functions as F
 
 from millrace.functions import dialect as D
+from millrace.operators import silver
+from millrace.sources import bronze
 
 
 def one(spark, **cols):
@@ -41,3 +46,32 @@ def test_json_fields_parse_once(spark):
 def test_latest_by_puts_nulls_last(spark):
     df = spark.createDataFrame([("k", None, 1), ("k", 5, 2), ("k", 5, 3)], "k string, t int, i int")
     assert D.latest_by(df, ["k"], [D.desc("t"), D.desc("i")]).first()["i"] == 3
+
+
+def test_json_scalars_know_their_types(spark):
+    """A string is a string, whatever it looks like."""
+    values = {'"[VIP] Jane"': "[VIP] Jane", '"{{x}}"': "{{x}}", '"[1]"': "[1]", '{"a":1}': None, "[1]": None, "[]": None, "7": "7", "1.50": "1.5", "true": "true", "null": None, '""': "", '" a\\n"': " a\n", "12345678901234567890123": "12345678901234567890123"}
+    df = spark.createDataFrame([(k, f'{{"o": {{"v.w": {k}}}}}') for k in values], "k string, raw string")
+    fields = {r.k: r.v for r in D.json_fields(df, {"v": ("o", "v.w")}, keep=("k",)).collect()}
+    assert fields == values
+    assert {r.k: r.v for r in df.select("k", D.json_scalar("raw", "$.o['v.w']").alias("v")).collect()} == values
+    assert D.keys_of("$.a['b.c'].d") == ("a", "b.c", "d")
+    with pytest.raises(ValueError):
+        D.keys_of("$.a[0]")
+
+
+def test_no_builder_parses_a_line_twice(spark, land):
+    """One parse for each scan of a feed in the optimised plans of all Silver tables, and of what is filtered and joined after them."""
+    root = land("crm/events/dt=2025-05-20/a.json", [crm("ev_1")])
+    land("seeds/channel_map/map.ndjson", [{"event_type": "e", "channel": "c", "is_paid": True}])
+    feeds = {n: spark.createDataFrame([], "raw string, dt string, asof string, source_path string") for n in bronze.CATALOG}
+    made = {}
+    for name, builder in silver.BUILDERS.items():
+        made[name] = builder(silver.BuildContext("b", "2025-07-12", "cf"), feeds, *([made["dim_lead"]] if name == "dq_lead_coverage" else []))
+        for df in (made[name], made[name].where("build_date is not null").where(F.col(made[name].columns[0]).isNotNull())):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            scans = plan.count("LogicalRDD") + plan.count("LocalRelation")
+            assert 0 < plan.count("from_json(StructField") <= scans, (name, plan)
+            for line in plan.splitlines():
+                assert "from_json(StructField" not in line or "Generate" in line, (name, line)
+    assert bronze.read(spark, root, "crm_event").count() == 1

@@ -8,7 +8,9 @@ import duckdb
 import pytest
 from conftest import SMALL
 
-from millrace.plans import serve, showcase
+from millrace.plans import feed_showcase, serve, showcase
+
+QUERIES, SQL = showcase.QUERIES | feed_showcase.QUERIES, showcase.SQL | feed_showcase.SQL
 
 
 @pytest.fixture(scope="module")
@@ -31,9 +33,9 @@ def canon(pdf, cols):
     return sorted(tuple(text(v) for v in r) for r in pdf[cols].astype(object).itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", sorted(showcase.QUERIES))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    got, want = showcase.QUERIES[name](spark, SMALL).toPandas(), duck.execute(showcase.SQL[name]).df()
+    got, want = QUERIES[name](spark, SMALL).toPandas(), duck.execute(SQL[name]).df()
     cols = sorted(got.columns)
     assert cols == sorted(want.columns)
     assert len(got) > 0 and canon(got, cols) == canon(want, cols)
@@ -43,7 +45,7 @@ def test_entry(spark):
     import __spark_entry__ as entry
 
     assert entry.entry(spark).count() > 0
-    assert set(showcase.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_headlines(spark):
