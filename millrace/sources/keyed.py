@@ -26,11 +26,54 @@ class KeyedFiles(DataSource):
         return _Writer(self.options["path"])
 
 
+def _root(path: str):
+    """The file system of a root, and the root's path on it."""
+    from pyarrow import fs
+
+    path = path.rstrip("/")
+    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else os.path.abspath(path))
+
+
+def _store(system, base: str, key: str, body: str | None) -> None:
+    folder, name = f"{base}/{key}".rsplit("/", 1)
+    system.create_dir(folder, recursive=True)
+    draft = f"{folder}/.{name}.{uuid.uuid4().hex}"  # hidden from readers until it is whole; a task that is run again starts afresh
+    with system.open_output_stream(draft) as out:
+        out.write((body or "").encode())
+    system.move(draft, f"{folder}/{name}")
+
+
 class _Writer(DataSourceWriter):
     def __init__(self, root: str):
-        self.root = root.rstrip("/")
+        self.root = root
 
     def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
+        system, base = _root(self.root)
+        for row in iterator:
+            _store(system, base, row["key"], row["body"])
+        return WriterCommitMessage()
+
+
+def try_write(rows: DataFrame, root: str) -> DataFrame:
+    """key and fault (null if stored) of every row (key, body), one a key; a row that can't be stored doesn't fail the others. Rows
+    are stored whenever the answer is evaluated, so write it down once."""
+    ship_package(rows.sparkSession)
+
+    def each(frames):
+        for frame in frames:
+            faults = []
+            for key, body in zip(frame["key"], frame["body"]):
+                try:
+                    _store(*_root(root), key, body)
+                    faults.append(None)
+                except OSError as e:
+                    faults.append(str(e)[:500])
+            yield frame[["key"]].assign(fault=faults)
+
+    return rows.select("key", "body").mapInPandas(each, "key string, fault string")
+
+
+def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
         from pyarrow import fs
 
         at = self.root if "://" in self.root or self.root.startswith("file:") else os.path.abspath(self.root)

@@ -3,17 +3,21 @@ transformations whose keys are pure functions of the payload."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.dialect import desc, json_fields, json_leaves, keys_of, last_segment, latest_by, ratio
-from millrace.sources import keyed
+from millrace.sources import bronze, keyed
+from millrace.sources.state import StateTable
 
-#: Event type -> feed, file stem, timestamps that date it, in order.
+#: Event type -> feed, file stem, timestamps that date it, in order; columns of the manifest; names of spend files.
 ROUTES = {
     "invitee.created": ("calendly_booking", "calendly_event", ("$.payload.created_at",)),
     "invitee.canceled": ("calendly_cancellation", "calendly_cancel", ("$.payload.cancellation.created_at", "$.payload.updated_at", "$.payload.created_at")),
 }
+MANIFEST = "asof string, content_hash string, size_bytes long, pulled_at long, row_count long, date_min string, date_max string, distinct_dates long, channels string"
 SPEND_FILE = r"^spend_data_(\d{4}-\d{2}-\d{2})\.json$"
 LOOKBACK_DAYS = 7
 OWNER_FIELDS = ("lead_owner", "lead_email", "funnel", "display_name", "status_label", "date_created")
@@ -74,8 +78,15 @@ def with_signature(parsed: DataFrame, verified: str | Column) -> DataFrame:
 
 
 def once(landed: DataFrame, order: str | None = None) -> DataFrame:
-    """One line a key, the last delivered if ``order`` tells; redelivery overwrites itself."""
-    return latest_by(landed.where("key is not null"), ["key"], [desc(order) if order else desc("raw"), desc("raw")])
+    """One line a key, the last delivered by ``order``; redelivery overwrites itself. Without an order, fails when run on a key with unlike bodies,
+    for it can't be told which of them stays."""
+    rows = landed.where("key is not null")
+    if order is not None:
+        return latest_by(rows, ["key"], [desc(order), desc("raw")])
+    by = Window.partitionBy("key")
+    fault = F.raise_error(F.concat(F.lit("an order is needed to land unlike bodies of "), "key"))
+    same = F.when(F.min("raw").over(by) == F.max("raw").over(by), F.col("raw")).when(F.col("raw").isNotNull(), fault)
+    return latest_by(rows.withColumn("raw", same), ["key"], [desc("raw")])
 
 
 def advertised(index: DataFrame, content: str = "content") -> DataFrame:
@@ -138,6 +149,24 @@ def spend_pull(files: DataFrame, manifest: DataFrame, pulled_at: int) -> tuple[D
     return demux(todo), record(manifest, entries)
 
 
+def land_spend(spark: SparkSession, files: DataFrame, bronze_root: str, manifest: StateTable, pulled_at: int) -> list[str]:
+    """Land what is new or corrected in ``files`` and record it; gives back the as-of dates landed. Data goes first, the manifest that vouches for it after.
+
+    The manifest is changed by compare-and-set: of two runs at once the later one looks again at what is still to do, and neither's entries are lost."""
+    landed: list[str] = []
+
+    def change(known: DataFrame) -> DataFrame:
+        todo = classify(files, known).where("state in ('new', 'corrected')")
+        entries = todo.select("asof", "content_hash", "size_bytes", F.lit(pulled_at).cast("long").alias("pulled_at")).join(profile(todo).drop("filename"), "asof", "left")
+        landed[:] = sorted(r["asof"] for r in todo.select("asof").collect())  # a file a day
+        if landed:
+            bronze.land(demux(todo), bronze_root, "calendly_spend")
+        return entries
+
+    manifest.update(change)
+    return landed
+
+
 def window(spark: SparkSession, start: str | None = None, end: str | None = None, today: str | None = None, lookback: int = LOOKBACK_DAYS) -> DataFrame:
     """dt: every day of the inclusive window to pull, as given or the last ``lookback`` days. Fails when run on a window that ends before it starts."""
     given = start is not None and end is not None
@@ -189,10 +218,30 @@ def one_line(raw: str | Column) -> Column:
 
 
 def land_events(parsed: DataFrame, root: str, order: str | None = None) -> None:
-    """Write webhook events (key, raw), one object a key: a redelivery replaces itself, and every other event of the day stays."""
+    """Write webhook events (key, raw), one object a key as ``once`` picks it: a redelivery replaces itself, and every other event of the day stays."""
     keyed.write(once(parsed, order).select("key", one_line("raw").alias("body")), root)
 
 
+def answer(parsed: DataFrame, root: str, answers: str, order: str | None = None) -> DataFrame:
+    """Land the accepted requests and say how each is answered: parsed with its final status_code. What became of each object is written to the folder ``answers``.
+
+    Refused requests (400, 401) and ignored ones keep their status. An accepted one whose object couldn't be stored is answered with 500, so that its sender
+    tries again; each object's fate is its own, for one that fails doesn't keep the others from being stored."""
+    tried = keyed.try_write(once(parsed, order).select("key", one_line("raw").alias("body")), root)
+    tried.write.mode("overwrite").parquet(answers)  # each object is stored once, however often the answers are read
+    failed = parsed.sparkSession.read.schema("key string, fault string").parquet(answers).where("fault is not null").select("key", F.lit(True).alias("__failed"))
+    return parsed.join(failed, "key", "left").withColumn("status_code", F.when(F.col("__failed"), 500).otherwise(F.col("status_code"))).drop("__failed")
+
+
+def land_stream(requests: DataFrame, root: str, checkpoint: str, parse: Callable[[DataFrame], DataFrame] = crm_events, within: str = "1 day", **trigger):
+    """A streaming query that lands webhook requests (body, at: when each was received) once. A redelivery within ``within`` of its first is dropped by keyed state, in the
+    same batch or a later one; one that comes later than that replaces its own object."""
+    keys = parse(requests.withWatermark("at", within)).where("key is not null").select("key", "raw", "at")
+    firsts = keys.dropDuplicatesWithinWatermark(["key"])
+    writer = firsts.writeStream.foreachBatch(lambda batch, _: land_events(batch, root, "at")).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def land_pulls(objects: DataFrame, root: str) -> None:
     """Write the objects of a pull (key, body) under names that Silver reads the medium from."""
     keyed.write(objects, root)

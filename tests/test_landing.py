@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import silver
 from millrace.sources import bronze, landing, paged, signature
+from millrace.sources.state import StateTable
 
 
 def bodies(spark, *rows):
@@ -211,3 +212,85 @@ def test_keys_and_identification(spark):
     e = spark.createDataFrame([("a@x",), (" ",), (None,), (None,)], "email string")
     assert landing.identification(e).first().asDict() == {"events": 4, "identified": 1, "identification_rate": 0.25}
     assert landing.identification(e.where("false")).first().identification_rate is None
+
+
+def test_unlike_bodies_need_an_order(spark, tmp_path):
+    old, new = crm("ev_1", label="zzz"), crm("ev_1", label="aaa")
+    both = bodies(spark, old, new).withColumn("at", F.when(F.col("body").contains("aaa"), 2).otherwise(1))
+    with pytest.raises(Exception, match="an order is needed"):
+        landing.land_events(landing.crm_events(both), str(tmp_path / "b"))
+    landing.land_events(landing.crm_events(both), str(tmp_path / "b"), order="at")
+    got = bronze.read(spark, str(tmp_path / "b"), "crm_event").collect()
+    assert [json.loads(r.raw)["event"]["data"]["status_label"] for r in got] == ["aaa"]
+
+
+def test_what_cannot_be_stored_is_answered_with_500(spark, tmp_path):
+    """A file stands where the second day's folder should be: its event gets 500, the others are stored and keep their status."""
+    root = tmp_path / "b"
+    (root / "crm/events").mkdir(parents=True)
+    (root / "crm/events/dt=2025-05-21").write_text("in the way")
+    late = crm("ev_2")
+    late["event"]["date_created"] = "2025-05-21T00:00:00"
+    said = landing.answer(landing.crm_events(bodies(spark, crm("ev_1"), late, {"event": {}})), str(root), str(tmp_path / "answers"))
+    assert sorted((r.status_code, r.dt) for r in said.collect() if r.dt) == [(200, "2025-05-20"), (500, "2025-05-21")]
+    assert said.where("status_code = 400").count() == 1 and (root / "crm/events/dt=2025-05-20/crm_event_ev_1.json").exists()
+    (root / "crm/events/dt=2025-05-21").unlink()  # the sender tries again
+    said = landing.answer(landing.crm_events(bodies(spark, late)), str(root), str(tmp_path / "answers"))
+    assert [r.status_code for r in said.collect()] == [200] and bronze.read(spark, str(root), "crm_event").count() == 2
+
+
+def test_streamed_redelivery_lands_once(spark, tmp_path):
+    """The same event in one batch, in a later one, and beyond the watermark: stored once, dropped, replaced by itself."""
+    inbox, root = tmp_path / "in", tmp_path / "b"
+    inbox.mkdir()
+
+    def deliver(name, *events):
+        (inbox / name).write_text("".join(json.dumps({"body": json.dumps(e), "at": at}) + "\n" for e, at in events))
+        stream = spark.readStream.schema("body string, at timestamp").json(str(inbox))
+        landing.land_stream(stream, str(root), str(tmp_path / "ckpt"), within="1 hour").awaitTermination()
+
+    file = root / "crm/events/dt=2025-05-20/crm_event_ev_1.json"
+    deliver("a.json", (crm("ev_1"), "2025-05-20T12:00:00Z"), (crm("ev_1"), "2025-05-20T12:00:01Z"), (crm("ev_2"), "2025-05-20T12:00:02Z"))
+    assert bronze.read(spark, str(root), "crm_event").count() == 2
+    first = file.stat().st_ino
+    deliver("b.json", (crm("ev_1"), "2025-05-20T12:10:00Z"), (crm("ev_3"), "2025-05-20T12:10:00Z"), (crm("ev_3"), "2025-05-20T12:10:00Z"))
+    assert file.stat().st_ino == first and bronze.read(spark, str(root), "crm_event").count() == 3
+    deliver("c.json", (crm("ev_4"), "2025-05-21T12:00:00Z"))
+    deliver("d.json", (crm("ev_1"), "2025-05-21T12:00:01Z"))
+    assert file.stat().st_ino != first and bronze.read(spark, str(root), "crm_event").count() == 4
+
+
+def spend_files(spark, **by_day):
+    rows = [(d.replace("_", "-"), f"spend_data_{d}.json", body, hashlib.sha256(body.encode()).hexdigest(), len(body)) for d, body in by_day.items()]
+    return spark.createDataFrame(rows, "asof string, filename string, content string, content_hash string, size_bytes long")
+
+
+def test_spend_runs_at_once_keep_both_entries(spark, tmp_path):
+    """Two runs read the manifest before either records: both files are landed and recorded; a third run has nothing to do, a corrected file comes again."""
+    row = json.dumps([{"date": "2025-07-01", "channel": "x", "spend": 1.0}])
+    manifest = StateTable(spark, str(tmp_path / "m"), landing.MANIFEST)
+    start, out = threading.Barrier(2, timeout=60), []
+    first = spend_files(spark, **{"2025_07_01": row}), spend_files(spark, **{"2025_07_02": row})
+    real = landing.classify
+
+    def at_once(files, known):
+        if len(out) == 0 and not getattr(seen, "done", False):
+            seen.done = True
+            start.wait()
+        return real(files, known)
+
+    seen = threading.local()
+    landing.classify = at_once
+    try:
+        many = [threading.Thread(target=lambda f=f: out.append(landing.land_spend(spark, f, str(tmp_path / "b"), manifest, 5))) for f in first]
+        [t.start() for t in many]
+        [t.join() for t in many]
+    finally:
+        landing.classify = real
+    assert sorted(x for o in out for x in o) == ["2025-07-01", "2025-07-02"]
+    assert {(r.asof, r.row_count, r.channels) for r in manifest.read().collect()} == {("2025-07-01", 1, "x"), ("2025-07-02", 1, "x")}
+    assert bronze.read(spark, str(tmp_path / "b"), "calendly_spend").count() == 2
+    both = first[0].union(first[1])
+    assert landing.land_spend(spark, both, str(tmp_path / "b"), manifest, 6) == []
+    assert landing.land_spend(spark, spend_files(spark, **{"2025_07_01": row.replace("1.0", "2.0"), "2025_07_03": "{broken"}), str(tmp_path / "b"), manifest, 7) == ["2025-07-01"]
+    assert {(r.asof, r.pulled_at) for r in manifest.read().collect()} == {("2025-07-01", 7), ("2025-07-02", 5)}
