@@ -167,3 +167,22 @@ def latest_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row of each key, the first in a total order. Spark bounds the group before the shuffle (WindowGroupLimit)."""
     rn = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("__rn", rn).where("__rn = 1").drop("__rn")
+
+
+def ranked(df: DataFrame, by: Column, name: str, buckets: int = 64) -> DataFrame:
+    """df with rank() by a number, ascending and nulls last, without bringing all rows into one partition.
+
+    Distinct values are counted, so ties however many are one row, and dealt to buckets by quantiles of them; a value's rank is one more than the rows of
+    lower buckets and of lower values in its own. What meets in one place is a row a bucket. Values equal a border are in the bucket below it,
+    so a bucket has all rows of a value."""
+    rows = df.withColumn("__v", by.cast("double"))
+    counts = rows.groupBy("__v").agg(F.count("*").alias("__n"))
+    shares = F.array(*[F.lit(k / buckets) for k in range(1, buckets)])
+    borders = counts.agg(F.percentile_approx("__v", shares, 100 * buckets).alias("__borders"))
+    below = F.size(F.filter("__borders", lambda x: x < F.col("__v")))
+    dealt = counts.crossJoin(borders).select("__v", "__n", F.when(F.col("__v").isNull(), buckets).otherwise(below).alias("__b"))
+    sums = dealt.groupBy("__b").agg(F.sum("__n").alias("__n")).agg(F.collect_list(F.struct("__b", "__n")).alias("__sums"))
+    before = F.aggregate(F.filter("__sums", lambda s: s["__b"] < F.col("__b")), F.lit(0).cast("long"), lambda a, s: a + s["__n"])
+    own = F.sum("__n").over(Window.partitionBy("__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1))
+    ranks = dealt.crossJoin(sums).select(F.col("__v").alias("__w"), (before + F.coalesce(own, F.lit(0).cast("long")) + 1).alias(name))
+    return rows.join(ranks, rows["__v"].eqNullSafe(ranks["__w"])).drop("__v", "__w")

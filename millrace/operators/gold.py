@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.dialect import asc, desc, greatest_strict, ratio, ratio_to, round_to, week_start
+from millrace.functions.dialect import asc, desc, greatest_strict, ranked, ratio, ratio_to, round_to, week_start
 from millrace.operators.silver import BuildContext, Tables, _dated
 
 #: The texts that go with the figures.
@@ -32,7 +32,7 @@ def cpb_by_channel(ctx: BuildContext, silver: Tables) -> DataFrame:
     """Cost per booking. Days without a spend file (missing) stay apart from days whose file has no such channel (genuine zero)."""
     b = silver["fct_booking"].groupBy(F.col("booking_date_est").alias("metric_date"), "channel").agg(F.count("*").alias("n"), _live().alias("live"))
     s = silver["fct_spend"].groupBy(F.col("spend_date").alias("metric_date"), "channel").agg(F.sum("spend").alias("spend"))
-    covered = silver["fct_spend"].select(F.col("spend_date").alias("metric_date")).distinct().withColumn("covered", F.lit(True))
+    covered = s.select("metric_date").distinct().withColumn("covered", F.lit(True))  # from the summed spend, which is shuffled once for both
     # USING keeps the keys of either side; null dates never match
     rows = b.join(s, ["metric_date", "channel"], "full_outer").join(covered, "metric_date", "left")
     rows = rows.select("metric_date", "channel", "spend", F.coalesce("n", _zero()).alias("bookings"), F.coalesce("live", _zero()).alias("bookings_excl_canceled"), F.col("covered").isNotNull().alias("covered"))
@@ -98,23 +98,27 @@ def booking_time_slots(ctx: BuildContext, silver: Tables) -> DataFrame:
 
 
 def meeting_load_by_employee(ctx: BuildContext, silver: Tables) -> DataFrame:
-    # by host and week first, then by host: each distinct count is a plain one, and no row is expanded for it
-    h = silver["fct_booking_host"].groupBy("host_user_uri", "meeting_date_est").agg(F.max("host_name").alias("host_name"), F.max("host_email").alias("host_email"), F.count("*").alias("n"))
-    week = h.groupBy("host_user_uri", week_start("meeting_date_est").alias("week")).agg(
-        F.max("host_name").alias("host_name"), F.max("host_email").alias("host_email"), F.sum("n").alias("n"), F.count("meeting_date_est").alias("days"), F.min("meeting_date_est").alias("first"), F.max("meeting_date_est").alias("last"),
+    """Meetings of each host, by weeks of tenure. Counts go by host and day, host and week, then host: each distinct count is a plain one, no row is
+    expanded for it, and all of it combines map-side by hash. Names, whose maximum doesn't, are an aggregate of their own on the same key."""
+    hosts = silver["fct_booking_host"]
+    day = hosts.groupBy("host_user_uri", "meeting_date_est").agg(F.count("*").alias("n"))
+    week = day.groupBy("host_user_uri", week_start("meeting_date_est").alias("week")).agg(
+        F.sum("n").alias("n"), F.count("meeting_date_est").alias("days"), F.min("meeting_date_est").alias("first"), F.max("meeting_date_est").alias("last"),
     )
     by = week.groupBy("host_user_uri").agg(
-        F.max("host_name").alias("host_name"), F.max("host_email").alias("host_email"), F.sum("n").alias("total_meetings"), F.sum("days").alias("days_with_meetings"),
-        F.count("week").alias("active_weeks"), F.min("first").alias("first_meeting_date"), F.max("last").alias("last_meeting_date"),
+        F.sum("n").alias("total_meetings"), F.sum("days").alias("days_with_meetings"), F.count("week").alias("active_weeks"), F.min("first").alias("first_meeting_date"), F.max("last").alias("last_meeting_date"),
     )
-    rows = by.crossJoin(by.agg(F.min("first_meeting_date").alias("lo"), F.max("last_meeting_date").alias("hi")))
+    names = hosts.groupBy(F.col("host_user_uri").alias("__host")).agg(F.max("host_name").alias("host_name"), F.max("host_email").alias("host_email"))
+    # the window's bounds are those of the table itself
+    bounds = hosts.agg(F.min("meeting_date_est").alias("lo"), F.max("meeting_date_est").alias("hi"))
+    rows = by.join(names, F.col("host_user_uri").eqNullSafe(F.col("__host"))).crossJoin(bounds)
     rows = rows.withColumn("tenure", greatest_strict(F.lit(1.0), F.datediff("hi", "first_meeting_date") / 7.0)).withColumn("window", F.datediff("hi", "lo") / 7.0)
     pace = ratio("total_meetings", "tenure")
     return _dated(
-        rows.select(
+        ranked(rows, -pace, "rank_by_load").select(
             "host_user_uri", "host_name", "host_email", "total_meetings", "days_with_meetings", "active_weeks", "first_meeting_date", "last_meeting_date", round_to("tenure", 2).alias("tenure_weeks"), round_to("window", 2).alias("window_weeks"),
             round_to(pace, 2).alias("avg_meetings_per_week"), ratio_to("total_meetings", "window", 2).alias("avg_per_week_naive_window"), ratio_to("total_meetings", "active_weeks", 2).alias("avg_per_active_week"),
-            F.rank().over(Window.orderBy(desc(pace))).cast("long").alias("rank_by_load"), F.lit(True).alias("tenure_is_proxied"), F.lit(TENURE_CAVEAT).alias("tenure_caveat"),
+            "rank_by_load", F.lit(True).alias("tenure_is_proxied"), F.lit(TENURE_CAVEAT).alias("tenure_caveat"),
         ),
         ctx,
     )

@@ -3,10 +3,11 @@ import datetime as dt
 import pytest
 from feeds import crm
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import dialect as D
-from millrace.operators import silver
+from millrace.operators import gold, silver
 from millrace.sources import bronze
 
 
@@ -75,3 +76,24 @@ def test_no_builder_parses_a_line_twice(spark, land):
             for line in plan.splitlines():
                 assert "from_json(StructField" not in line or "Generate" in line, (name, line)
     assert bronze.read(spark, root, "crm_event").count() == 1
+
+
+@pytest.mark.parametrize("rows, buckets", [(0, 4), (1, 4), (300, 4), (300, 64), (3000, 8)])
+def test_ranks_of_all_rows(spark, rows, buckets):
+    """Equal to rank() over one partition, with ties across every border, one value that a third of the rows have, and nulls."""
+    v = F.when(F.col("id") % 3 == 0, 5.5).when(F.col("id") % 7 != 0, (F.col("id") * 7919 % 101) / 4.0)
+    df = spark.range(rows).select("id", v.alias("v"))
+    want = df.select("id", F.rank().over(Window.orderBy(D.desc("v"))).cast("long").alias("r"))
+    got = D.ranked(df, -F.col("v"), "r", buckets)
+    assert got.columns == ["id", "v", "r"]
+    assert sorted(map(tuple, got.select("id", "r").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_rank_has_no_single_partition(spark):
+    """The window of host load is dealt by bucket, and no sort is global."""
+    df = spark.range(50).select(F.col("id").cast("string").alias("host_user_uri"), F.lit("n").alias("host_name"), F.lit("e").alias("host_email"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("meeting_date_est"))
+    out = gold.meeting_load_by_employee(silver.BuildContext("b", "2024-02-01"), {"fct_booking_host": df})
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 1 and windows[0].count("__b") >= 1 and "RunningWindowFunction" not in windows[0]
+    assert "rank(" not in plan and out.count() == 50
