@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.dialect import ratio
+from millrace.sources import bronze
+from millrace.sources.keyed import file_system
 
 #: Labels of weekdays (1 is Monday) and channels.
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
@@ -30,6 +38,63 @@ def silver(spark: SparkSession, table: str, where=None, order_by=None, limit: in
     return pick(spark.table(f"silver.{table}"), where, order_by, limit)
 
 
+@dataclass
+class _Kept:
+    df: DataFrame
+    path: str
+    at: float
+
+
+class Results:
+    """Results of served queries, kept for ``seconds`` as files in ``folder`` and read in pages of ``page_rows`` rows.
+
+    A query is known again by its plan, which names the tables of the build that its views show: an equal query runs no job while its result is
+    kept, and a new build's views make another plan, so it is seen at once. The driver holds one page at a time."""
+
+    def __init__(self, spark: SparkSession, folder: str, seconds: float = 600.0, page_rows: int = 1000, clock: Callable[[], float] = time.monotonic):
+        self.spark, self.folder, self.seconds, self.page_rows, self.clock = spark, folder, seconds, page_rows, clock
+        self.kept: dict[int, list[_Kept]] = {}
+
+    def _path(self, df: DataFrame) -> str:
+        self.forget()
+        alike = self.kept.setdefault(df.semanticHash(), [])
+        for k in alike:
+            if k.df.sameSemantics(df):
+                return k.path
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        alike.append(_Kept(df, path, self.clock()))
+        return path
+
+    def forget(self) -> None:
+        """Drop results that have been kept long enough."""
+        now = self.clock()
+        for key, alike in list(self.kept.items()):
+            for k in [k for k in alike if now - k.at >= self.seconds]:
+                alike.remove(k)
+                bronze.remove(self.spark, k.path)
+            if not alike:
+                del self.kept[key]
+
+    def pages(self, df: DataFrame) -> Iterator[pa.Table]:
+        """The result in order, each page but the last full; no page for no rows."""
+        import pyarrow.parquet as pq
+
+        system, path = file_system(self._path(df))
+        rest: list[pa.RecordBatch] = []
+        files = sorted(name for name in bronze.children(self.spark, path) if name.endswith(".parquet"))
+        for name in files:
+            with system.open_input_file(f"{path}/{name}") as f:
+                for batch in pq.ParquetFile(f).iter_batches(self.page_rows):
+                    rest.append(batch)
+                    while (have := sum(map(len, rest))) >= self.page_rows:
+                        whole = pa.Table.from_batches(rest)
+                        yield whole.slice(0, self.page_rows)
+                        rest = whole.slice(self.page_rows).to_batches() if have > self.page_rows else []
+        if rest:
+            yield pa.Table.from_batches(rest)
+
+
 def channel_label(c: str | Column) -> Column:
     """The display name of a channel; unknown ones as they are."""
     col = F.col(c) if isinstance(c, str) else c

@@ -26,8 +26,8 @@ class KeyedFiles(DataSource):
         return _Writer(self.options["path"])
 
 
-def _root(path: str):
-    """The file system of a root, and the root's path on it."""
+def file_system(path: str):
+    """The file system that a path is on, and the path there."""
     from pyarrow import fs
 
     path = path.rstrip("/")
@@ -48,7 +48,7 @@ class _Writer(DataSourceWriter):
         self.root = root
 
     def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
-        system, base = _root(self.root)
+        system, base = file_system(self.root)
         for row in iterator:
             _store(system, base, row["key"], row["body"])
         return WriterCommitMessage()
@@ -64,7 +64,7 @@ def try_write(rows: DataFrame, root: str) -> DataFrame:
             faults = []
             for key, body in zip(frame["key"], frame["body"]):
                 try:
-                    _store(*_root(root), key, body)
+                    _store(*file_system(root), key, body)
                     faults.append(None)
                 except OSError as e:
                     faults.append(str(e)[:500])
