@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -104,32 +105,35 @@ class Vocabulary:
         known = dict(pairs)
         self.byte = [known.get(bytes([b])) for b in range(256)]
         #: rank of the union of two neighbours, by their ranks: every way to cut an entry into two entries
-        self.union = {(known[w[:i]] << 32) | known[w[i:]]: r for w, r in pairs for i in range(1, len(w)) if w[:i] in known and w[i:] in known}
+        self.union: list[dict[int, int]] = [{} for _ in range(max(self.rank, default=-1) + 2)]  # the last stands for what is before the first
+        for w, r in pairs:
+            for i in range(1, len(w)):
+                if (a := known.get(w[:i])) is not None and (b := known.get(w[i:])) is not None:
+                    self.union[a][b] = r
 
     def merge(self, word: bytes) -> list[int]:
         """Ranks of a byte string that isn't in the vocabulary as a whole. A heap entry is the rank of a union and its place; one that no longer fits is passed over."""
-        n, union = len(word), self.union.get
-        part = [self.byte[b] for b in word]
+        n, union = len(word), self.union
+        part = [*map(self.byte.__getitem__, word), -1]  # -1 stands before the first and behind the last
         if None in part:
             raise ValueError(f"the vocabulary lacks a byte of {word[:99]!r}")
-        part.append(-1)  # stands before the first and behind the last
         before, after, bits = list(range(-1, n)), list(range(1, n + 1)), n.bit_length()
-        heap = [u << bits | i for i in range(n - 1) if (u := union(part[i] << 32 | part[i + 1])) is not None]
+        heap = [u << bits | i for i in range(n - 1) if (u := union[part[i]].get(part[i + 1])) is not None]
         heapify(heap)
         place = (1 << bits) - 1
         while heap:
             top = heappop(heap)
             i, r = top & place, top >> bits
             j = after[i]
-            if union(part[i] << 32 | part[j]) != r or part[i] < 0:
+            if union[part[i]].get(part[j]) != r:
                 continue
             part[i], part[j] = r, -1
             after[i] = k = after[j]
             before[k] = i
-            if (u := union(r << 32 | part[k])) is not None:
+            if (u := union[r].get(part[k])) is not None:
                 heappush(heap, u << bits | i)
             h = before[i]
-            if (u := union(part[h] << 32 | r)) is not None:
+            if (u := union[part[h]].get(r)) is not None:
                 heappush(heap, u << bits | h)
         return [p for p in part if p >= 0]
 
@@ -144,27 +148,28 @@ class Vocabulary:
                 self.memory[word] = found
         return found
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def encode(self, texts: list[str | None]) -> pa.Array:
         """Ranks of each text; every distinct pre-token of them is looked up once."""
-        cut = [self.split(t) if t else [] for t in texts]
-        number: dict[str, int] = {}
-        for words in cut:
-            for w in words:
-                if w not in number:
-                    number[w] = len(number)
-        keys = [w.encode() for w in number]
+        words: list[str] = []
+        ends = np.zeros(len(texts) + 1, np.int64)
+        for k, t in enumerate(texts):
+            if t:
+                words += self.split(t)
+            ends[k + 1] = len(words)
+        coded = pa.array(words, pa.large_string()).dictionary_encode()
+        code = coded.indices.to_numpy()
+        at = np.empty(len(coded.dictionary), np.int64)
+        at[code] = np.arange(len(code))
+        keys = [words[i].encode() for i in at.tolist()]
         whole = self.hash.find(keys)
         ids = [[self.rank[k]] if k >= 0 and self.words[k] == w else self.merged(w) for k, w in zip(whole.tolist(), keys)]
         size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for some in ids for i in some), np.int32, int(size.sum()))
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
         begin = np.cumsum(size) - size
-        out = []
-        for words in cut:
-            code = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-            take = size[code]
-            total = int(take.sum())
-            out.append(flat[np.arange(total) + np.repeat(begin[code] - (np.cumsum(take) - take), take)])
-        return out
+        take = size[code]
+        stop = np.concatenate(([0], np.cumsum(take)))
+        laid = flat[np.arange(stop[-1]) + np.repeat(begin[code] - stop[:-1], take)]
+        return pa.ListArray.from_arrays(pa.array(stop[ends].astype(np.int32)), pa.array(laid))
 
     def decode(self, ids: pa.Array) -> pa.Array:
         """The bytes of each list of ids; null for a null list. All entries are laid end to end by one gather, and lists take their stretches of that."""
@@ -202,15 +207,10 @@ def _shared(spark: SparkSession, path: str | None, pattern: str | None):
         return spark.sparkContext.broadcast(f.read()), pattern
 
 
-def _list(parts: list[np.ndarray]) -> pa.Array:
-    ends = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32), pa.int32()))
-
-
 def encode(docs: DataFrame, keep: list[str] | None = None, text: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """``keep`` (doc_id) and ids of every whole text."""
     shared, pattern = _shared(docs.sparkSession, path, pattern)
-    run = lambda text: [_list(vocabulary(shared.value, pattern).encode(text.to_pylist()))]
+    run = lambda text: [vocabulary(shared.value, pattern).encode(text.to_pylist())]
     return map_blocks(docs, run, keep or ["doc_id"], [T.StructField("ids", T.ArrayType(T.IntegerType()))], text, BLOCK)
 
 
