@@ -89,7 +89,9 @@ def fct_booking(ctx: BuildContext, bronze: Tables) -> DataFrame:
     }
     rows = json_fields(bronze["calendly_booking"], paths).where("scheduled_event_uri is not null").withColumn("__t", iso_ts("created"))
     first = latest_by(rows, ["scheduled_event_uri"], [asc("__t"), asc("invitee_uri")])
-    counts = rows.groupBy("scheduled_event_uri").agg(F.count_distinct("invitee_uri").alias("invitee_count"))
+    # of two keys only: the parse of another branch can't be shared, so it is kept small
+    invitees = json_fields(bronze["calendly_booking"], {n: paths[n] for n in ("scheduled_event_uri", "invitee_uri")}).where("scheduled_event_uri is not null")
+    counts = invitees.groupBy("scheduled_event_uri").agg(F.count_distinct("invitee_uri").alias("invitee_count"))
     gone = json_fields(bronze["calendly_cancellation"], {"scheduled_event_uri": (*_MEETING, "uri"), "at": ("payload", "cancellation", "created_at"), "updated": ("payload", "updated_at")})
     cancelled = gone.where("scheduled_event_uri is not null").groupBy("scheduled_event_uri").agg(F.min(F.coalesce("at", "updated")).alias("cancel_text"), F.lit(True).alias("hit"))
     out = first.join(_channels(bronze), "event_type", "left").join(cancelled, "scheduled_event_uri", "left").join(counts, "scheduled_event_uri", "left")
