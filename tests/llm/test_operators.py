@@ -61,7 +61,7 @@ def labels(spark):
 
 def sql_rows(name):
     con = duckdb.connect()
-    for t in ("documents",):
+    for t in ("documents", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
     return con.execute(queries.SQL[name]).df()
 
