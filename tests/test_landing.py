@@ -123,6 +123,36 @@ def test_signatures_are_not_interchangeable(spark):
     assert [r.ok for r in df.select(signature.verified("booking", key, now)("h", "b").alias("ok")).collect()] == [True, False, False]
 
 
+@pytest.mark.parametrize("scheme", ["crm", "booking"])
+@pytest.mark.parametrize("key", ["ab" * 32, "cd" * 70, "zz", None])
+def test_columns_judge_as_requests_do(spark, scheme, key):
+    """Every way of being wrong, in both schemes, with short, long, unfit and no keys: columns and the plain functions agree in word and reason."""
+    verify = {"crm": signature.verify_crm, "booking": signature.verify_booking}[scheme]
+    now, cases = 1_000_000.5, []
+    for raw in (bytes.fromhex(key) if key and key != "zz" else b"?", (key or "?").encode()):
+        for joint in ("", "."):
+            for stamp in ("1000000", " 1000000", "999700", "999701", "1000301", "-5", "1e6", "", "12.5", "9" * 30):
+                for body in ('{"a": "\u00fc"}', "", None):
+                    made = hmac.new(raw, f"{stamp}{joint}{body or ''}".encode(), hashlib.sha256).hexdigest()
+                    for sig in (made, made.upper(), made[:-1], ""):
+                        cases.append(({"close-SIG-hash": sig, "Close-Sig-Timestamp": stamp}, body))
+                        cases.append(({"CALENDLY-webhook-signature": f"t={stamp}, v1={sig}"}, body))
+    made = hmac.new((key or "?").encode(), b"1000000.x", hashlib.sha256).hexdigest()
+    texts = ("", "t", "t=1,v1", f"v1={made} ,\tt=1000000", f"t=5,t=1000000,v1=0,v1={made}", f"t=1000000,v1={made}=", f"tt=1,xv1=2,t=1000000,v1={made},,=")
+    cases += [({"Calendly-Webhook-Signature": t}, "x") for t in texts] + [({}, "x"), (None, "x"), ({"close-sig-hash": "a"}, None)]
+    df = spark.createDataFrame(cases, "h map<string,string>, b string").coalesce(1)
+    for required in (True, False):
+        got = df.select(signature.verdict(scheme, key, "h", "b", required, now).alias("v")).collect()
+        assert [(r.v.ok, r.v.why) for r in got] == [verify(h, b or "", key, required, now) for h, b in cases]
+    assert key in ("zz", None) or any(r.v.ok for r in got)
+
+
+def test_signatures_stay_out_of_python(spark):
+    df = spark.createDataFrame([({"a": "b"}, "x")], "h map<string,string>, b string")
+    plan = df.select(signature.verified("crm", "ab" * 32)("h", "b"))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan
+
+
 def test_answers_are_sorted_into_final_and_passing():
     script = [(503, b"busy"), (0, b"timed out"), (200, b"{broken"), (200, b"[1]")]
     waited = []
