@@ -8,9 +8,10 @@ import duckdb
 import pytest
 from conftest import SMALL
 
-from millrace.plans import feed_showcase, serve, showcase
+from millrace.plans import edge_showcase, feed_showcase, serve, showcase
 
-QUERIES, SQL = showcase.QUERIES | feed_showcase.QUERIES, showcase.SQL | feed_showcase.SQL
+QUERIES = showcase.QUERIES | feed_showcase.QUERIES | edge_showcase.QUERIES
+SQL = showcase.SQL | feed_showcase.SQL | edge_showcase.SQL
 
 
 @pytest.fixture(scope="module")
