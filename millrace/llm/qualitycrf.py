@@ -29,7 +29,7 @@ _SYMBOL[np.frombuffer(b"#*$%&|<>{}[]\\^~=@_+", np.uint8)] = True
 def line_features(block: TextBlock) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(features, first line of its text?, weight, text number) of every non-blank line, with its neighbours' features."""
     ls, le, ld = block.lines()
-    ws, we, _ = block.words()
+    ws, we, wd = block.words()
     lo, hi = np.searchsorted(ws, ls, "left"), np.searchsorted(ws, le, "left")
     keep = hi > lo
     ls, le, ld, lo, hi = ls[keep], le[keep], ld[keep], lo[keep], hi[keep]
@@ -49,7 +49,7 @@ def line_features(block: TextBlock) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         run = np.concatenate(([0], np.cumsum(flag, dtype=np.int64)))
         return (run[hi] - run[lo]) / n
 
-    same = np.append(False, h[1:] == h[:-1])
+    same = np.append(False, (h[1:] == h[:-1]) & (wd[1:] == wd[:-1]))
     last = buf[we - 1] if len(we) else np.zeros(0, np.uint8)
     head = buf[ws] if len(ws) else np.zeros(0, np.uint8)
     own = np.stack(
