@@ -258,10 +258,11 @@ def export_snapshot(rows: DataFrame, asof: str) -> DataFrame:
 
 
 def flatten_typed(raw: str | Column, columns: dict[str, str]) -> list[Column]:
-    """Plain columns from typed-attribute JSON ({"name": {"S": ...}} with S, N, BOOL or NULL), each cast to its type."""
-    out = []
+    """Plain columns from typed-attribute JSON ({"name": {"S": ...}} with S, N, BOOL or NULL), each cast to its type. The text is parsed once for all of
+    them; one that isn't JSON, or repeats a key, gives nulls."""
+    item, out = F.try_parse_json(F.col(raw) if isinstance(raw, str) else raw), []
     for name, kind in columns.items():
-        at = lambda t, n=name: F.get_json_object(F.col(raw) if isinstance(raw, str) else raw, f"$['{n}'].{t}")
+        at = lambda t, n=name: F.try_variant_get(item, f"$['{n}'].{t}", "string")
         out.append(F.coalesce(at("S"), at("N"), at("BOOL")).try_cast(kind).alias(name))
     return out
 
