@@ -1,7 +1,7 @@
 """Language ID by nearest centroid: normalised TF-IDF vectors of hashed byte n-grams against several clustered centroids
 per language by cosine, with distance-based rejection.
 
-Cases: null texts and texts without a letter are ``und`` with score 0 and are rejected; ties go to the first language in
+Cases: null texts and texts without a letter are ``und`` with score 0 and are rejected; bytes that aren't UTF-8 are no letters; ties go to the first language in
 alphabetical order; repeated rows get the same answer; without training rows all texts are ``und``, none is rejected for
 that alone; rows that repeat a doc_id count once in training, with one of their texts; an empty table gives an empty table; extra columns pass by."""
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.runtime import cut, filter_rows, held_out, map_blocks, ranges
+from millrace.llm.runtime import BLOCK_BYTES, cut, filter_rows, held_out, map_blocks, ranges
 from millrace.llm.textblock import TextBlock
 from millrace.llm.training import one_text_an_id, train
 
@@ -24,6 +24,8 @@ DIMS = 4096
 MAX_LANGS, PER_LANG, MAX_TEXTS, MAX_CHARS, CENTROIDS = 1000, 600, 6000, 20_000, 3
 #: Texts that are counted at once: a dense row each.
 BLOCK_TEXTS = 512
+#: Bytes that are counted at once, so that a long text takes no more memory than a block of short ones.
+COUNT_BYTES = BLOCK_BYTES
 #: A text of n distinct n-grams is rejected if it's farther than the language's limit + WIDEN / sqrt(n), so that short and repetitive
 #: texts get more room. The limit is the median of the training texts' distances less their room, and SPREADS median absolute deviations.
 WIDEN, SPREADS = 4.0, 24.0
@@ -41,17 +43,22 @@ class Model:
 
 def counts(block: TextBlock) -> np.ndarray:
     """(texts, DIMS) counts of 1-, 2- and 3-byte n-grams of lower-cased texts, hashed; all that can't be part of a letter reads as a space."""
-    b = np.where(((block.buf >= 97) & (block.buf <= 122)) | (block.buf >= 128), block.buf, 32).astype(np.int64)
-    doc = np.repeat(np.arange(block.n), np.diff(block.off))
-    out = np.bincount(doc * DIMS + b, minlength=block.n * DIMS)
-    if len(b) > 1:
-        two = doc[1:] == doc[:-1]
-        g = (b[:-1] * 0x9E3B + b[1:] * 0x61C9) * 0x2545F491 >> 13 & DIMS - 1
-        out += np.bincount((doc[1:] * DIMS + g)[two], minlength=block.n * DIMS)
-    if len(b) > 2:
-        three = doc[2:] == doc[:-2]
-        g = (b[:-2] * 0x1B873593 + b[1:-1] * 0x3C6EF372 + b[2:] * 0x5BD1E995) * 0x27D4EB2F >> 17 & DIMS - 1
-        out += np.bincount((doc[2:] * DIMS + g)[three], minlength=block.n * DIMS)
+    out, end = np.zeros(block.n * DIMS, np.int64), len(block.buf)
+    for lo in range(0, end, COUNT_BYTES):
+        n = min(COUNT_BYTES, end - lo)
+        buf = block.buf[lo : lo + n + 2]  # n-grams begin at n places, and the last ones reach two bytes on
+        b = np.where(((buf >= 97) & (buf <= 122)) | (buf >= 128), buf, 32).astype(np.int64)
+        doc = block.doc_of(np.arange(lo, lo + len(buf))) if COUNT_BYTES < end else np.repeat(np.arange(block.n), np.diff(block.off))
+        out += np.bincount(doc[:n] * DIMS + b[:n], minlength=block.n * DIMS)
+        if len(b) > 1:
+            first, second = b[:-1][:n], b[1:][:n]
+            two = doc[1:][:n] == doc[:-1][:n]
+            g = (first * 0x9E3B + second * 0x61C9) * 0x2545F491 >> 13 & DIMS - 1
+            out += np.bincount((doc[1:][:n] * DIMS + g)[two], minlength=block.n * DIMS)
+        if len(b) > 2:
+            three = doc[2:] == doc[:-2]
+            g = (b[:-2] * 0x1B873593 + b[1:-1] * 0x3C6EF372 + b[2:] * 0x5BD1E995) * 0x27D4EB2F >> 17 & DIMS - 1
+            out += np.bincount((doc[2:] * DIMS + g)[three], minlength=block.n * DIMS)
     return out.reshape(block.n, DIMS)
 
 
@@ -141,7 +148,7 @@ def predict(model: Model | None, text: pa.Array) -> tuple[list[str], np.ndarray,
     low = (block.buf >= 97) & (block.buf <= 122)
     letters = block.per_doc(low) > 0
     for i in np.flatnonzero(~letters & (block.per_doc(block.buf >= 128) > 0)):
-        letters[i] = any(ch.isalpha() for ch in text[int(i)].as_py())
+        letters[i] = any(ch.isalpha() for ch in block.buf[block.off[i] : block.off[i + 1]].tobytes().decode("utf-8", "replace"))
     if model is None:
         return ["und"] * block.n, np.zeros(block.n), ~letters
     c = counts(block)

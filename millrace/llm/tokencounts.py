@@ -6,7 +6,7 @@ length L how many documents are at least as long, their tokens, and what all doc
 lengths takes the next greater length's suffix; ``at_limit`` does so.
 
 Cases: null and empty texts have length 0; repeated rows count each; an empty table gives an empty histogram; strings of
-special tokens in a text are ordinary text; extra columns pass by."""
+special tokens in a text are ordinary text; bytes that aren't UTF-8 read as U+FFFD; extra columns pass by."""
 
 from __future__ import annotations
 
@@ -44,6 +44,14 @@ def encoder(ranks: bytes, pattern: str):
     return _encoders[key]
 
 
+def strings(text: pa.Array) -> list[str | None]:
+    """Texts as Python strings; bytes that aren't UTF-8, which Spark's strings may hold, read as U+FFFD."""
+    try:
+        return text.to_pylist()
+    except UnicodeDecodeError:
+        return [None if t is None else t.decode("utf-8", "replace") for t in text.cast(pa.large_binary()).to_pylist()]
+
+
 def length(enc, text: str) -> int:
     """Tokens of a whole text."""
     return len(enc.encode_ordinary(text)) if text else 0
@@ -63,7 +71,7 @@ def lengths(docs: DataFrame, path: str | None = None, pattern: str | None = None
 
     def count(text: pa.Array) -> list:
         enc = encoder(shared.value, pattern)
-        return [pa.array([length(enc, t) for t in text.to_pylist()], pa.int64())]
+        return [pa.array([length(enc, t) for t in strings(text)], pa.int64())]
 
     return map_blocks(docs, count, ["doc_id"], [T.StructField("length", T.LongType())])
 
@@ -80,7 +88,7 @@ def histogram(docs: DataFrame, path: str | None = None, pattern: str | None = No
         for batch in batches:
             sizes = []
             for lo, hi in blocks(batch):
-                sizes += [length(enc, t) for t in text_of(batch.slice(lo, hi - lo)).to_pylist()]
+                sizes += [length(enc, t) for t in strings(text_of(batch.slice(lo, hi - lo)))]
             value, n = np.unique(np.array(sizes, np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(n.astype(np.int64))], ["length", "n"])
 

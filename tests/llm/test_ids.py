@@ -55,6 +55,16 @@ def test_pipeline_of_an_empty_table(spark, shifted, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_pipeline_takes_broken_utf8(spark, tmp_path):
+    """Spark's strings may hold bytes that aren't UTF-8, in texts with letters and without."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    bad = F.when(F.col("doc_id") % 7 == 3, F.unhex(F.lit("3820FFFEC32039")).cast("string")).when(F.col("doc_id") % 7 == 5, F.concat("text", F.unhex(F.lit("20FF")).cast("string")))
+    docs.withColumn("text", F.coalesce(bad, "text")).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SMALL}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()}
+    assert not {i for i in got if i % 7 == 3} and len({i for i in got if i % 7 == 5}) > 10 and len(got) > 100
+
+
 def test_one_document_a_group(spark):
     """Copies with equal and with missing ids: one row of each group, the least named; rows without words stay."""
     t = "the sun and the moon and a tree stand over the quiet hill beside an old stone wall in early spring"

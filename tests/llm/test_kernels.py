@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -244,3 +245,27 @@ def test_language_needs_letters():
     m = langid.Model(["x"], np.ones(langid.DIMS, np.float32), np.ones((1, langid.DIMS), np.float32) / 64, np.array([0]), np.array([1.0]))
     lang, score, rejected = langid.predict(m, arr(["123 !?", None, "", "日本", "٣", "a1"]))
     assert lang == ["und", "und", "und", "x", "und", "x"] and score[:3].tolist() == [0, 0, 0] and rejected.tolist() == [True, True, True, False, True, False]
+
+
+def test_language_of_broken_utf8():
+    m = langid.Model(["x"], np.ones(langid.DIMS, np.float32), np.ones((1, langid.DIMS), np.float32) / 64, np.array([0]), np.array([1.0]))
+    broken = pa.array([b"8 \xff\xfe\xc3 11", b"\xff", b"\xed\xa0\x80", b"\xff \xc3\xa9", None, b"a\xff"], pa.large_binary()).view(pa.large_string())
+    lang, score, rejected = langid.predict(m, broken)
+    assert lang == ["und", "und", "und", "x", "und", "x"] and score[:3].tolist() == [0, 0, 0] and rejected.tolist() == [True, True, True, False, True, False]
+    assert tokencounts.strings(broken[3:]) == ["\ufffd \u00e9", None, "a\ufffd"]
+
+
+def test_language_counts_of_long_texts(monkeypatch):
+    """In pieces as at once, and without the memory of 64-bit numbers for each byte of a long text."""
+    blocks = [TextBlock(arr(texts), lower=True) for texts in (TEXTS, ["abcdé" * 30], ["", None, "a", "bc", ""], [])]
+    want = [langid.counts(b) for b in blocks]
+    for step in (1, 2, 3, 7):
+        monkeypatch.setattr(langid, "COUNT_BYTES", step)
+        assert all((langid.counts(b) == w).all() for b, w in zip(blocks, want))
+    monkeypatch.undo()
+    long = TextBlock(arr(["one more word " * 600_000]))
+    tracemalloc.start()
+    langid.counts(long)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(long.buf)
